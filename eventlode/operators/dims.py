@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlode.functions.calendar import CALENDAR_END, CALENDAR_START, calendar_columns
@@ -11,12 +13,10 @@ from eventlode.schemas import DEVICE_ROWS, DIM_DEVICE, DIM_EVENT_TYPE, EVENT_TYP
 
 def time_dimension(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per hour from ``start`` to ``end``, both included."""
-    hours = spark.range(1).select(
-        F.explode(
-            F.sequence(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"), F.expr("interval 1 hour"))
-        ).alias("full_timestamp")
-    )
-    return calendar_columns(hours)
+    hours = int((datetime.fromisoformat(end) - datetime.fromisoformat(start)).total_seconds()) // 3600 + 1
+    first = F.unix_seconds(F.lit(start).cast("timestamp"))
+    ids = spark.range(0, hours, 1, numPartitions=8)
+    return calendar_columns(ids.select(F.timestamp_seconds(first + F.col("id") * 3600).alias("full_timestamp")))
 
 
 def hours_of(events: DataFrame, column: str = "event_timestamp") -> DataFrame:

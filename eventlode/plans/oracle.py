@@ -151,8 +151,8 @@ marked as (
 numbered as (
   select *, sum(starts) over (partition by user_id order by t) as n from marked),
 gaps as (
-  select user_id, min(at) as session_start, max(at) + interval 30 minute as session_end,
-    max(at) as last_event_at, count(*) as event_count, first(device order by t) as primary_device
+  select user_id, min(t) as session_start, max(t) + interval 30 minute as session_end,
+    max(t) as last_event_at, count(*) as event_count, first(device order by t) as primary_device
   from numbered group by user_id, n)"""
 
 

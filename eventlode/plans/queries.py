@@ -17,7 +17,7 @@ from eventlode.operators.keys import assign_keys
 from eventlode.operators.runlog import logged_run
 from eventlode.plans import daily
 from eventlode.schemas import DEAD_LETTER_ALERT_RATE, DIM_USER, SILVER_SESSION
-from eventlode.session import prepare, work_dir
+from eventlode.session import materialize, prepare, work_dir
 from eventlode.sources import events as given
 from eventlode.sources.streams import processed_feed
 from eventlode.sources.tables import ParquetStore, read_partition, write_partitioned
@@ -721,8 +721,10 @@ def test_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def column_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared tests of the star schema and the marts."""
-    fact_rows = star_facts(spark, sf_dir).withColumn("event_key", F.col("event_id").cast("bigint"))
+    """All declared tests of the star schema and the marts, over a stored fact table."""
+    fact_rows = materialize(
+        star_facts(spark, sf_dir).withColumn("event_key", F.col("event_id").cast("bigint")), "tested-facts"
+    )
     users = given.user_dimension(spark, sf_dir)
     tables = {
         "fact_events": fact_rows, "dim_user": users, "dim_time": dims.hours_of(events_of(spark, sf_dir)),

@@ -7,6 +7,8 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from eventlode.functions.inline import inline_rows
+
 
 def path_missing(error: AnalysisException) -> bool:
     """True only for "there is no such path"; every other failure must surface."""
@@ -80,8 +82,8 @@ class ParquetStore:
             write_partitioned(df, path, partition_by)
 
     def _publish(self, name: str, path: str, version: int) -> None:
-        entry = self.spark.createDataFrame([(name, path, version)], self._MANIFEST)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest_rows")
+        entry = inline_rows(self.spark, [(name, path, version)], self._MANIFEST)
+        entry.write.mode("append").parquet(f"{self.root}/_manifest_rows")
 
 
 class BucketedTable:
