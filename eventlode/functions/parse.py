@@ -43,27 +43,38 @@ def add_ingestion_columns(parsed: DataFrame) -> DataFrame:
     )
 
 
-def corruption_class(raw: Column | str, payload_fields: Column) -> Column:
-    """Name the first defect of a raw JSON text, or ``clean``.
+def classify_corruption(texts: DataFrame, registry: DataFrame, raw: str = "raw_value") -> DataFrame:
+    """Add ``defect``: the first defect of each raw JSON text, or ``clean``.
 
-    ``payload_fields`` holds the payload names the event's type must carry. Defects are tested from
-    the outside in: unreadable text, absent envelope fields, unusable event time, wrong payload,
-    fields nobody asked for.
+    Defects are tested from the outside in: unreadable text, absent envelope fields, unusable event
+    time, a payload that is no object or lacks what the registry asks of the type, fields nobody
+    asked for. The text is parsed once, into a variant; the steps are separate projections so that
+    no later test parses it again.
     """
-    raw = F.col(raw) if isinstance(raw, str) else raw
-    keys = F.json_object_keys(raw)
+    document = texts.withColumn("_doc", F.try_parse_json(raw))
+    members = document.withColumn("_fields", F.map_keys(F.try_variant_get("_doc", "$", "map<string,variant>")))
+    read = members.withColumns({
+        "_kind": F.try_variant_get("_doc", "$.event_type", "string"),
+        "_version": F.try_variant_get("_doc", "$.schema_version", "string"),
+        "_time": event_time(F.try_variant_get("_doc", "$.timestamp", "string")),
+        "_payload": F.map_keys(F.try_variant_get("_doc", "$.payload", "map<string,variant>")),
+    })
+    asked = registry.select(
+        F.col("schema_version").alias("_known_version"), F.col("event_type").alias("_known_kind"),
+        F.col("payload_fields").alias("_asked"),
+    )
+    known = read.join(
+        asked, (F.col("_version") == F.col("_known_version")) & (F.col("_kind") == F.col("_known_kind")), "left"
+    )
     must_have = F.array(*[F.lit(n) for n in ("event_id", "user_id", "timestamp", "event_type", "schema_version")])
     allowed = F.array(*[F.lit(n) for n in ENVELOPE_FIELDS])
-    payload_text = F.get_json_object(raw, "$.payload")
-    payload_keys = F.json_object_keys(payload_text)
-    return (
-        F.when(keys.isNull() | F.try_parse_json(raw).isNull(), "malformed_json")
-        .when(F.size(F.array_except(must_have, keys)) > 0, "missing_field")
-        .when(event_time(F.get_json_object(raw, "$.timestamp")).isNull(), "invalid_timestamp")
-        .when(
-            payload_keys.isNull() | (F.size(F.array_except(F.coalesce(payload_fields, F.array()), payload_keys)) > 0),
-            "invalid_payload",
-        )
-        .when(F.size(F.array_except(keys, allowed)) > 0, "extra_fields")
+    wanted = F.coalesce("_asked", F.array().cast("array<string>"))
+    defect = (
+        F.when(F.col("_fields").isNull(), "malformed_json")
+        .when(F.size(F.array_except(must_have, "_fields")) > 0, "missing_field")
+        .when(F.col("_time").isNull(), "invalid_timestamp")
+        .when(F.col("_payload").isNull() | (F.size(F.array_except(wanted, "_payload")) > 0), "invalid_payload")
+        .when(F.size(F.array_except("_fields", allowed)) > 0, "extra_fields")
         .otherwise("clean")
     )
+    return known.select(*[known[name] for name in texts.columns], defect.alias("defect"))

@@ -62,9 +62,16 @@ def build_facts(events: DataFrame, dim_user: DataFrame, dim_device: DataFrame, d
     }).select(*[name for name in FACT_EVENTS.names if name != "event_key"])
 
 
-def absent_facts(offered: DataFrame, stored_keys: DataFrame) -> DataFrame:
-    """Offered rows, one per idempotency key, that are not stored yet (insert or do nothing)."""
-    return keep_first(offered).join(stored_keys.select("idempotency_key"), "idempotency_key", "left_anti")
+def absent_facts(offered: DataFrame, stored: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Offered rows, one per idempotency key, that are not stored yet (insert or do nothing).
+
+    ``buckets`` is the bucket count of the stored table. Splitting the offered rows the same way
+    makes them the only side that moves, whatever the session's shuffle setting.
+    """
+    first = keep_first(offered)
+    if buckets:
+        first = first.repartition(buckets, "idempotency_key")
+    return first.join(stored.select("idempotency_key"), "idempotency_key", "left_anti")
 
 
 def load_facts(table: BucketedTable, facts: DataFrame, load_date: str) -> int:
@@ -73,7 +80,7 @@ def load_facts(table: BucketedTable, facts: DataFrame, load_date: str) -> int:
     A second load of the same date finds all its keys stored and appends nothing.
     """
     stored = table.read()
-    added = materialize(absent_facts(facts, stored), "new-facts")
+    added = materialize(absent_facts(facts, stored, table.buckets), "new-facts")
     count = added.count()
     if count:
         keyed = assign_keys(added, "idempotency_key", "event_key", highest_key(stored, "event_key"))

@@ -125,20 +125,25 @@ def report(*checks: DataFrame) -> DataFrame:
     )
 
 
-def run_quality(table: DataFrame, date: str, now: str | None = None, threshold_pct: float = VOLUME_THRESHOLD_PCT,
+def date_checks(table: DataFrame, date: str, now: str | None = None, threshold_pct: float = VOLUME_THRESHOLD_PCT,
                 lookback_days: int = VOLUME_LOOKBACK_DAYS, critical: list[str] = CRITICAL_COLUMNS) -> DataFrame:
     """The three checks of one date; only that date's folder and the look-back folders are read."""
     day = table.where(F.col("date") == date)
     recent = table.where(
         F.col("date").between(F.date_sub(F.lit(date).cast("date"), lookback_days).cast("string"), F.lit(date))
     )
-    return report(
-        freshness(day, now, [date]),
-        volume(daily_counts(recent), [date], threshold_pct, lookback_days),
-        nulls(day, critical, [date]),
+    return (
+        freshness(day, now, [date])
+        .unionByName(volume(daily_counts(recent), [date], threshold_pct, lookback_days))
+        .unionByName(nulls(day, critical, [date]))
     )
 
 
+def run_quality(table: DataFrame, date: str, **limits: object) -> DataFrame:
+    """The report of one date; arguments are those of ``date_checks``."""
+    return report(date_checks(table, date, **limits))
+
+
 def write_report(rolled: DataFrame, path: str) -> None:
     """The report as JSON. It has one row per checked date."""
     rolled.coalesce(1).write.mode("append").json(path)

@@ -103,7 +103,6 @@ def run_daily(warehouse: Warehouse, silver_path: str, date: str | None = None,
     added = logged_run(warehouse.store, "daily_load", "batch", load)
     build_marts(warehouse, date)
     warehouse.store.append("column_tests", test_tables(warehouse))
-    table = quality.read_tolerant(spark, silver_path)
-    day = table.where(table.date == date)
-    warehouse.store.append("data_quality_checks", quality.log_rows(quality.nulls(day, dates=[date]), "silver"))
+    checks = quality.date_checks(quality.read_tolerant(spark, silver_path), date)
+    warehouse.store.append("data_quality_checks", quality.log_rows(checks, "silver"))
     return added

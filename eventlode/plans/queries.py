@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from eventlode.functions.parse import corruption_class, parse_events
+from eventlode.functions.parse import classify_corruption, parse_events
 from eventlode.operators import coltests, dims, facts, joins, kpis, marts, quality, scd2, sessions, validate
 from eventlode.operators.dedup import keep_first, keep_first_streaming
 from eventlode.operators.keys import assign_keys
@@ -156,9 +156,10 @@ def registry_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def corruption_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = validate.registry(spark).drop("required_fields")
-    parsed = parsed_of(spark, sf_dir).join(known, ["schema_version", "event_type"], "left")
-    return tidy(parsed.select("source_id", corruption_class("raw_value", F.col("payload_fields")).alias("defect")))
+    texts = given.raw_json(given.read_table(spark, sf_dir, "events")).select(
+        F.col("event_id").alias("source_id"), "raw_value"
+    )
+    return tidy(classify_corruption(texts, validate.registry(spark)).drop("raw_value"))
 
 
 # --- streams ----------------------------------------------------------------------------------

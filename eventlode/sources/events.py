@@ -24,7 +24,11 @@ TYPE_NAMES = {"signup": "user_signup", "view": "page_view", "click": "page_view"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table. The layout of the events is known, so no file is opened to infer it."""
+    reader = prepare(spark).read
+    if name == "events":
+        reader = reader.schema(EVENTS_LAYOUT)
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, layout: T.StructType, **options: str) -> DataFrame:

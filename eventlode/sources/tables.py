@@ -69,18 +69,20 @@ class ParquetStore:
         return reader.parquet(path)
 
     def overwrite(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        _, version = self._current(name)
-        path = f"{self.root}/{name}/v{version + 1:08d}-{uuid.uuid4().hex[:8]}"
-        write_partitioned(df, path, partition_by)
-        self._publish(name, path, version + 1)
+        self._replace(name, df, partition_by, self._current(name)[1] + 1)
 
     def append(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         path, version = self._current(name)
         if path is None:
-            self.overwrite(name, df, partition_by)
+            self._replace(name, df, partition_by, version + 1)
         else:
             write_partitioned(df, path, partition_by)
 
+    def _replace(self, name: str, df: DataFrame, partition_by: tuple[str, ...], version: int) -> None:
+        path = f"{self.root}/{name}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+        write_partitioned(df, path, partition_by)
+        self._publish(name, path, version)
+
     def _publish(self, name: str, path: str, version: int) -> None:
         entry = inline_rows(self.spark, [(name, path, version)], self._MANIFEST)
         entry.write.mode("append").parquet(f"{self.root}/_manifest_rows")

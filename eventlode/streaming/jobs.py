@@ -121,4 +121,4 @@ def run_stream(spark: SparkSession, messages: DataFrame | None, lake: Lake, mode
         queries.append(ingest_bronze(messages, lake, trigger or BRONZE_TRIGGER))
     if mode != "bronze":
         queries.extend(process_silver(spark, lake, trigger, **silver))
-    supervise(spark, queries)
+    supervise(queries)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,15 +61,19 @@ def finish(queries: list[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def supervise(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def supervise(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Run until any query ends or fails, then stop the others and raise the failure.
 
-    Waiting on all of them at once matters: a query that fails while another runs on would go unseen.
+    Watching all of them at once matters: waiting on one after another would leave a query that
+    fails early unseen while the first runs on.
     """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            time.sleep(poll_seconds)
     finally:
         for query in queries:
             if query.isActive:
                 query.stop()
-        spark.streams.resetTerminated()
+    for query in queries:
+        if query.exception() is not None:
+            raise query.exception()
