@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from eventlode.operators.dedup import keep_first
 from eventlode.operators.dims import lookup_device, lookup_product, lookup_time, lookup_user
 from eventlode.operators.keys import assign_keys, highest_key
+from eventlode.operators.validate import accepted, route
 from eventlode.schemas import CONSTANT_PURCHASE_AMOUNT, FACT_EVENTS, FACT_PURCHASES
 from eventlode.session import materialize
 from eventlode.sources.tables import BucketedTable
@@ -62,6 +63,22 @@ def build_facts(events: DataFrame, dim_user: DataFrame, dim_device: DataFrame, d
     }).select(*[name for name in FACT_EVENTS.names if name != "event_key"])
 
 
+def events_of_bronze(bronze: DataFrame) -> DataFrame:
+    """Valid bronze rows, one per idempotency key, with their true time and the payload's amounts."""
+    valid = accepted(route(bronze))
+    first = keep_first(valid)
+    return first.select(
+        "event_id", "idempotency_key", "user_id", "event_type", "schema_version", "device_type", "ip_address",
+        "geo_location", "event_timestamp",
+        F.expr("try_cast(payload['total_amount'] as decimal(12,2))").alias("total_amount"),
+        F.coalesce(F.expr("try_cast(payload['quantity'] as int)"), F.lit(1)).alias("quantity"),
+        F.col("payload")["session_id"].alias("session_id"),
+        F.to_json("payload").alias("payload_json"),
+        "kafka_timestamp",
+        F.col("ingestion_time").alias("ingestion_timestamp"),
+    )
+
+
 def absent_facts(offered: DataFrame, stored: DataFrame, buckets: int | None = None) -> DataFrame:
     """Offered rows, one per idempotency key, that are not stored yet (insert or do nothing).
 

@@ -11,7 +11,7 @@ from eventlode.operators import coltests, dims, facts, marts, quality
 from eventlode.operators.runlog import logged_run
 from eventlode.operators.scd2 import UpgradeRule, apply_scd2
 from eventlode.operators.sessions import explode_sessions
-from eventlode.schemas import CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, SILVER_SESSION
+from eventlode.schemas import BRONZE, CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, SILVER_SESSION
 from eventlode.sources.tables import BucketedTable, ParquetStore, read_partition
 
 
@@ -51,7 +51,7 @@ def update_users(warehouse: Warehouse, sessions: DataFrame, as_of: str, rule: Up
     warehouse.store.overwrite("dim_user", apply_scd2(warehouse.dim_user, sessions, as_of, rule))
 
 
-def load_sessions(warehouse: Warehouse, events: DataFrame, load_date: str, constant_amount: bool = False) -> int:
+def load_events(warehouse: Warehouse, events: DataFrame, load_date: str, constant_amount: bool = False) -> int:
     """Look up keys for events (or exploded sessions) and append what is new."""
     rows = facts.build_facts(events, warehouse.dim_user, warehouse.store.read("dim_device"),
                              warehouse.store.read("dim_time"), constant_amount)
@@ -82,12 +82,13 @@ test_tables.__test__ = False
 
 
 def run_daily(warehouse: Warehouse, silver_path: str, date: str | None = None,
-              rule: UpgradeRule = UpgradeRule(), events: DataFrame | None = None) -> int:
+              rule: UpgradeRule = UpgradeRule(), bronze_path: str | None = None) -> int:
     """Load one date, yesterday unless given, and return the number of facts added.
 
     A date without sessions loads nothing. Running a date again changes neither the dimension nor
-    the facts. ``events`` may supply the date's deduplicated events, which carry true times and
-    amounts; without them the facts come from the sessions' own lists.
+    the facts. With ``bronze_path`` the facts are the date's valid bronze events, with their own
+    times and amounts; without it they come from the sessions' lists, at the session's start and a
+    constant purchase amount.
     """
     date = date or (Date.today() - timedelta(days=1)).isoformat()
     spark = warehouse.spark
@@ -97,8 +98,10 @@ def run_daily(warehouse: Warehouse, silver_path: str, date: str | None = None,
 
     def load() -> int:
         update_users(warehouse, sessions, date, rule)
-        rows = explode_sessions(sessions) if events is None else events
-        return load_sessions(warehouse, rows, date, constant_amount=events is None)
+        if bronze_path is None:
+            return load_events(warehouse, explode_sessions(sessions), date, constant_amount=True)
+        bronze = read_partition(spark, bronze_path, date, BRONZE)
+        return load_events(warehouse, facts.events_of_bronze(bronze), date)
 
     added = logged_run(warehouse.store, "daily_load", "batch", load)
     build_marts(warehouse, date)

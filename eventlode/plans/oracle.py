@@ -409,7 +409,7 @@ from sess""",
     "silver_sessions_batch": f"""with {_DED},
 timed as (select user_id, event_timestamp as t, device_type as device from ded), {_gap('timed')}
 select * from gaps""",
-    "processed_feed_publish": f"""with {_RAW}
+    "processed_feed": f"""with {_RAW}
 select cast(user_id as varchar) as key, cast(event_id as varchar) as event_id, kind_name as event_type,
   case when kind not in (12, 13, 14, 15) then 'T' || event_id end as transaction_id
 from raw where {_GOOD}""",
@@ -518,6 +518,17 @@ from keyed group by 1""",
 select idempotency_key, event_id, row_number() over (order by md5(idempotency_key), idempotency_key) as event_key,
   (select count(*) from ded) as first_load, cast(0 as bigint) as second_load
 from ded""",
+    "fact_from_bronze": f"""with {_RAW}
+select cast(event_id as varchar) as event_id, 'k' || event_id as idempotency_key,
+  case when user_id % 2 = 0 and user_id / 2 <= (select max(c_custkey) from customer)
+    then cast(user_id // 2 as bigint) end as user_key,
+  cast({_TIME_KEY.format('ts')} as bigint) as time_key, cast(16 as bigint) as device_key, kind_name as event_type,
+  case when kind not in (12, 13, 14, 15) then 's' end as session_id,
+  cast(case when kind_name <> 'purchase' then 0 when kind not in (12, 13, 14, 15)
+    then cast(value as decimal(12,2)) end as double) as purchase_amount,
+  cast(case when kind_name = 'purchase' then 1 else 0 end as bigint) as purchase_quantity,
+  kind_name = 'payment_failed' as is_error, ts as event_timestamp, ts as kafka_timestamp
+from raw where {_GOOD}""",
     "fact_purchases_build": f"""with {_DED}
 select event_id, case when user_no % 2 = 0 and user_no / 2 <= (select max(c_custkey) from customer)
     then cast(user_no // 2 as bigint) end as user_key,

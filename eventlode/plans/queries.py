@@ -19,7 +19,7 @@ from eventlode.plans import daily
 from eventlode.schemas import DEAD_LETTER_ALERT_RATE, DIM_USER, SILVER_SESSION
 from eventlode.session import materialize, prepare, work_dir
 from eventlode.sources import events as given
-from eventlode.sources.streams import processed_feed
+from eventlode.sources.streams import decode_feed
 from eventlode.sources.tables import ParquetStore, read_partition, write_partitioned
 from eventlode.streaming import jobs, live
 from eventlode.streaming.run import start_parquet
@@ -216,11 +216,11 @@ def silver_sessions_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def processed_feed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+def processed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = bronze_lake(spark, sf_dir, "feed")
     valid = validate.accepted(validate.route(jobs.bronze_stream(spark, lake.table("bronze")))).drop("event_timestamp")
     jobs.finish([jobs.publish_feed(valid, lake, "available_now")])
-    return tidy(processed_feed(spark.read.parquet(lake.table("feed"))).select(
+    return tidy(decode_feed(spark.read.parquet(lake.table("feed"))).select(
         "key", "event_id", "event_type", F.col("payload")["transaction_id"].alias("transaction_id")
     ))
 
@@ -284,7 +284,7 @@ def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def live_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = lake_of(spark, "live-revenue")
-    feed = processed_feed(jobs.feed_rows(validate.accepted(validate.route(
+    feed = decode_feed(jobs.feed_rows(validate.accepted(validate.route(
         jobs.bronze_rows(messages_of(spark, sf_dir))
     )).drop("event_timestamp")))
     totals = live.revenue(feed)
@@ -514,8 +514,8 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _warehouse(spark, sf_dir, "fact-upsert")
     every = events_of(spark, sf_dir)
     early = every.where(F.col("event_timestamp") < F.lit("2024-01-16").cast("timestamp"))
-    first = daily.load_sessions(warehouse, early, "2024-01-16")
-    second = daily.load_sessions(warehouse, every, "2024-01-31")
+    first = daily.load_events(warehouse, early, "2024-01-16")
+    second = daily.load_events(warehouse, every, "2024-01-31")
     return tidy(warehouse.facts.read().groupBy("load_date").agg(
         F.count("*").alias("rows"), F.count_distinct("event_key").alias("keys"),
         F.min("event_key").alias("low_key"), F.max("event_key").alias("high_key"),
@@ -528,12 +528,23 @@ def daily_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything loaded twice under one date: facts after the first load equal those after the second."""
     warehouse = _warehouse(spark, sf_dir, "daily-rerun")
     every = events_of(spark, sf_dir)
-    loaded = [daily.load_sessions(warehouse, every, AS_OF) for _ in range(2)]
+    loaded = [daily.load_events(warehouse, every, AS_OF) for _ in range(2)]
     return tidy(warehouse.facts.read().select("idempotency_key", "event_id", "event_key").withColumns(
         {"first_load": F.lit(loaded[0]), "second_load": F.lit(loaded[1])}
     ))
 
 
+@query
+def fact_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the parsed raw events: valid ones only, at their own time, with the payload's amount."""
+    bronze = jobs.bronze_rows(given.as_messages(given.read_table(spark, sf_dir, "events")))
+    rows = facts.build_facts(facts.events_of_bronze(bronze), given.user_dimension(spark, sf_dir),
+                             dims.device_dimension(spark), dims.time_dimension(spark))
+    return tidy(rows.select("event_id", "idempotency_key", "user_key", "time_key", "device_key", "event_type",
+                            "session_id", "purchase_amount", "purchase_quantity", "is_error", "event_timestamp",
+                            "kafka_timestamp"))
+
+
 @query
 def fact_purchases_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = facts.build_purchases(

@@ -18,6 +18,14 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str
     return reader.load()
 
 
+def live_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Messages of the republished feed from now on, for live readers.
+
+    Every reader sees the whole feed: the source assigns partitions itself, readers share no group.
+    """
+    return kafka_messages(spark, servers, topic, startingOffsets="latest")
+
+
 def file_stream(spark: SparkSession, path: str, layout: T.StructType, file_format: str = "parquet",
                 **options: str) -> DataFrame:
     reader = spark.readStream.format(file_format).schema(layout)
@@ -31,7 +39,7 @@ def bronze_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return file_stream(spark, path, BRONZE, **options)
 
 
-def processed_feed(messages: DataFrame) -> DataFrame:
+def decode_feed(messages: DataFrame) -> DataFrame:
     """Decode the republished feed (key, value JSON) back into event columns."""
     return messages.select(
         F.col("key").cast("string").alias("key"),

@@ -89,7 +89,7 @@ def test_whole_job_and_restart(spark, tmp_path):
     assert (count("bronze"), count("silver_tumbling"), count("feed")) == (10, 3, 7)
     bronze = spark.read.parquet(lake.table("bronze"))
     assert {"date", "event_type"} <= set(bronze.columns) and bronze.where("raw_value = '{'").count() == 1
-    decoded = streams.processed_feed(spark.read.parquet(lake.table("feed")))
+    decoded = streams.decode_feed(spark.read.parquet(lake.table("feed")))
     assert decoded.where("key = user_id").count() == 7
 
 

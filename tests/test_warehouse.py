@@ -104,14 +104,14 @@ def test_rerun_adds_nothing_and_history_is_not_shuffled(spark, tmp_path):
     warehouse.seed()
     warehouse.store.append("dim_user", users(spark, OPEN))
     frame = events(spark, [("u1", f"k{i}", f"{i % 24:02d}:00", "purchase") for i in range(40)] + [("u1", "k0", "23:59")])
-    assert daily.load_sessions(warehouse, frame, "2024-01-01") == 40
-    assert daily.load_sessions(warehouse, frame, "2024-01-01") == 0
+    assert daily.load_events(warehouse, frame, "2024-01-01") == 40
+    assert daily.load_events(warehouse, frame, "2024-01-01") == 0
     more = frame.union(events(spark, [("u2", "new", "01:00")]).withColumn("event_id", F.lit("x")))
     # A second session over the same files has to find the partitions again.
     spark.sql(f"DROP TABLE {warehouse.facts.name}")
     again = daily.Warehouse(spark, str(tmp_path / "w"), fact_buckets=6)
     assert again.facts.read().count() == 40
-    assert daily.load_sessions(again, more, "2024-01-02") == 1
+    assert daily.load_events(again, more, "2024-01-02") == 1
     stored = again.facts.read()
     assert sorted(r.event_key for r in stored.collect()) == list(range(1, 42))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
