@@ -20,6 +20,7 @@ from eventlode.streaming import jobs
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="eventlode")
     parser.add_argument("--root", required=True, help="folder of the lake and the warehouse")
+    parser.add_argument("--buckets", type=int, default=1024, help="buckets of the fact table, fixed at its creation")
     commands = parser.add_subparsers(dest="command", required=True)
 
     stream = commands.add_parser("stream", help="run the streaming queries")
@@ -91,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         return _stream(spark, args)
     if args.command == "quality":
         return _quality(spark, args)
-    warehouse = daily.Warehouse(spark, args.root)
+    warehouse = daily.Warehouse(spark, args.root, args.buckets)
     if args.command == "daily":
         warehouse.seed()
         lake = jobs.Lake(args.root)

@@ -1,25 +1,19 @@
-"""Small fixed tables written as literals."""
+"""Small fixed tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-
-
-def _literal(value: object, kind: T.DataType) -> Column:
-    if isinstance(value, list):
-        return F.array(*[F.lit(item) for item in value]).cast(kind)
-    return F.lit(value).cast(kind)
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], layout: str | T.StructType) -> DataFrame:
-    """Rows as a frame whose size the optimizer knows, so that joins with it are broadcast.
+    """A few rows as a frame whose size the optimizer knows, so that joins with it are broadcast.
 
-    A frame made from Python objects has no size estimate and would be joined by shuffling both sides.
+    Rows handed over as an Arrow table become a local relation. The same rows as Python objects would
+    have no size estimate, and joining them would shuffle both sides.
     """
     layout = T.StructType.fromDDL(layout) if isinstance(layout, str) else layout
-    structs = [
-        F.struct(*[_literal(value, field.dataType).alias(field.name) for value, field in zip(row, layout.fields)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    table = pa.Table.from_pylist([dict(zip(layout.names, row)) for row in rows], schema=to_arrow_schema(layout))
+    return spark.createDataFrame(table, layout)

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from eventlode.functions.inline import inline_rows
 from eventlode.schemas import JOB_RUNS
 from eventlode.sources.tables import ParquetStore
 
@@ -20,7 +21,7 @@ def logged_run(store: ParquetStore, job_name: str, job_type: str, job: Callable[
     def log(status: str, records: int, error: str | None) -> None:
         ended = datetime.now(timezone.utc)
         row = (uuid.uuid4().hex, job_name, job_type, status, started, ended, records, error, None, ended)
-        store.append("job_runs", store.spark.createDataFrame([row], JOB_RUNS).coalesce(1))
+        store.append("job_runs", inline_rows(store.spark, [row], JOB_RUNS))
 
     try:
         records = job()

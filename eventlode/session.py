@@ -31,6 +31,8 @@ def build_session(app_name: str = "eventlode", master: str | None = None, **conf
         builder = builder.master(master)
     for key, value in _RUNTIME_CONF.items():
         builder = builder.config(key, value)
+    # Recording the call site of every column expression slows plan building down noticeably.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     builder = builder.config("spark.sql.streaming.stateStore.providerClass", _STATE_STORE)
     builder = builder.config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     for key, value in conf.items():

@@ -3,18 +3,16 @@
 import json
 
 from eventlode.__main__ import main
-from eventlode.plans import daily
 from test_streaming import event_text, messages
 
 
-def test_stream_load_check_and_read(spark, tmp_path, capsys, monkeypatch):
-    monkeypatch.setattr(daily.Warehouse.__init__, "__defaults__", (4,))
+def test_stream_load_check_and_read(spark, tmp_path, capsys):
     root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
     texts = [event_text(i) for i in range(9)] + [event_text(99, at="2024-01-02T09:00:00Z"), "broken {"]
     messages(spark, texts).write.parquet(landing)
 
     def run(*args):
-        code = main(["--root", root, *args])
+        code = main(["--root", root, "--buckets", "4", *args])
         lines = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
         return code, lines
 
