@@ -30,6 +30,7 @@ def _arguments() -> argparse.ArgumentParser:
     stream.add_argument("--feed-topic", default="events.processed.v1")
     stream.add_argument("--landing", help="folder of message files")
     stream.add_argument("--trigger", help="an interval, or available_now to stop at the end of the input")
+    stream.add_argument("--files-per-partition", type=int, default=0, help="for a backlog that spans many dates")
     stream.add_argument("--kind", default="tumbling", choices=["tumbling", "gap"])
 
     load = commands.add_parser("daily", help="load one date into the warehouse")
@@ -58,7 +59,8 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
                 "feed_options": {"kafka.bootstrap.servers": args.servers, "topic": args.feed_topic}}
     elif args.mode != "silver":
         messages = streams.file_stream(spark, args.landing, MESSAGE)
-    jobs.run_stream(spark, messages, jobs.Lake(args.root), args.mode, args.trigger, kind=args.kind, **feed)
+    jobs.run_stream(spark, messages, jobs.Lake(args.root), args.mode, args.trigger,
+                    args.files_per_partition, kind=args.kind, **feed)
     return 0
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def assign_keys(rows: DataFrame, natural_key: str, key: str, start_after: int = 0,
-                digits: int = 3) -> DataFrame:
+                digits: int = 4) -> DataFrame:
     """Number rows ``start_after + 1, + 2, …`` densely, in the order of the hash of a unique key.
 
     The first hash digits name a bucket, so buckets are even whatever the keys look like. Bucket

@@ -116,7 +116,7 @@ def lake_of(spark: SparkSession, label: str) -> jobs.Lake:
 
 def bronze_lake(spark: SparkSession, sf_dir: str, label: str) -> jobs.Lake:
     lake = lake_of(spark, label)
-    jobs.run_stream(spark, messages_of(spark, sf_dir), lake, "bronze", "available_now")
+    jobs.run_stream(spark, messages_of(spark, sf_dir), lake, "bronze", "available_now", files_per_partition=2)
     return lake
 
 
@@ -271,7 +271,7 @@ def restart_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole streaming job in mode ``both``; rows per output table."""
     lake = lake_of(spark, "run-stream")
-    jobs.run_stream(spark, messages_of(spark, sf_dir), lake, "both", "available_now")
+    jobs.run_stream(spark, messages_of(spark, sf_dir), lake, "both", "available_now", files_per_partition=2)
     counts = [
         spark.read.parquet(lake.table(name)).agg(F.count("*").alias("rows")).select(
             F.lit(name).alias("table_name"), "rows"

@@ -34,10 +34,20 @@ def bronze_rows(messages: DataFrame) -> DataFrame:
     return add_ingestion_columns(parse_events(decode_messages(messages))).select(*BRONZE.names)
 
 
-def ingest_bronze(messages: DataFrame, lake: Lake, trigger: str = BRONZE_TRIGGER) -> StreamingQuery:
-    """Parsed messages, with their raw text, partitioned by date and event type."""
-    return start_parquet(bronze_rows(messages), lake.table("bronze"), lake.checkpoint("bronze"), trigger,
-                         "bronze", ("date", "event_type"))
+def ingest_bronze(messages: DataFrame, lake: Lake, trigger: str = BRONZE_TRIGGER,
+                  files_per_partition: int = 0) -> StreamingQuery:
+    """Parsed messages, with their raw text, partitioned by date and event type.
+
+    A live batch holds a date or two and is written as it arrives. A backlog holds many dates, and
+    every task would open a file in every folder; ``files_per_partition`` first gathers each folder's
+    rows in that many tasks, split evenly by a hash of the text so that no busy folder is one task.
+    """
+    rows = bronze_rows(messages)
+    if files_per_partition:
+        part = F.pmod(F.xxhash64("raw_value", "kafka_key"), F.lit(files_per_partition))
+        rows = rows.repartition("date", "event_type", part)
+    return start_parquet(rows, lake.table("bronze"), lake.checkpoint("bronze"), trigger, "bronze",
+                         ("date", "event_type"))
 
 
 def route_dead_letters(routed: DataFrame, lake: Lake, trigger: str = DEAD_LETTER_TRIGGER) -> StreamingQuery:
@@ -105,20 +115,20 @@ MODES = ("bronze", "silver", "both")
 
 
 def run_stream(spark: SparkSession, messages: DataFrame | None, lake: Lake, mode: str = "both",
-               trigger: str | None = None, **silver: object) -> None:
+               trigger: str | None = None, files_per_partition: int = 0, **silver: object) -> None:
     """Run bronze, silver or both until stopped; with ``available_now`` until the input is used up."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if trigger == "available_now":
         # Silver reads what bronze wrote, so bronze has to be done first.
         if mode != "silver":
-            finish([ingest_bronze(messages, lake, trigger)])
+            finish([ingest_bronze(messages, lake, trigger, files_per_partition)])
         if mode != "bronze":
             finish(process_silver(spark, lake, trigger, **silver))
         return
     queries = []
     if mode != "silver":
-        queries.append(ingest_bronze(messages, lake, trigger or BRONZE_TRIGGER))
+        queries.append(ingest_bronze(messages, lake, trigger or BRONZE_TRIGGER, files_per_partition))
     if mode != "bronze":
         queries.extend(process_silver(spark, lake, trigger, **silver))
     supervise(queries)
