@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def dau_trend(dau: DataFrame, days: int = 30, latest: bool = False) -> DataFrame:
@@ -41,3 +41,22 @@ def summary(revenue: DataFrame, churn: DataFrame) -> DataFrame:
         F.coalesce(F.sum("amount"), F.lit(0)).alias("total_revenue"),
         F.coalesce(F.sum("risk"), F.lit(0)).alias("high_risk_users"),
     )
+
+
+def with_live_revenue(stored: DataFrame, live: DataFrame) -> DataFrame:
+    """The summary with the live purchases added to the stored revenue. Both have one row."""
+    both = stored.select(F.col("total_revenue").cast("decimal(38,2)").alias("amount"), "high_risk_users").unionByName(
+        live.select(F.col("live_revenue").cast("decimal(38,2)").alias("amount"), F.lit(0).alias("high_risk_users"))
+    )
+    return both.agg(F.sum("amount").alias("total_revenue"), F.sum("high_risk_users").alias("high_risk_users"))
+
+
+def with_live_users(trend: DataFrame, live: DataFrame) -> DataFrame:
+    """The trend with the live users added to its newest date. The trend has as many rows as days asked for."""
+    newest = Window.orderBy(F.desc("date"))
+    added = live.select(F.lit(1).alias("_age"), "live_users")
+    return (
+        trend.withColumn("_age", F.row_number().over(newest)).join(added, "_age", "left")
+        .withColumn("daily_active_users", F.col("daily_active_users") + F.coalesce("live_users", F.lit(0)))
+        .drop("_age", "live_users")
+    )

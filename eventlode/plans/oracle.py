@@ -426,6 +426,18 @@ union all select 'feed', count(*) from raw where {_GOOD}""",
 select cast(coalesce(sum(cast(value as decimal(12,2))) filter (kind not in (12, 13, 14, 15)), 0) as double)
   as live_revenue, count(*) as purchases
 from raw where {_GOOD} and kind_name = 'purchase'""",
+    "live_summary": f"""with {_BOTH_ROWS}, {_RAW}
+select cast((select coalesce(sum(total), 0) from sums)
+    + (select coalesce(sum(cast(value as decimal(12,2))), 0) from raw
+       where {_GOOD} and kind_name = 'purchase' and kind not in (12, 13, 14, 15)) as double) as total_revenue,
+  (select count(*) from levels where churn_risk_level = 'high') as high_risk_users""",
+    "live_dau_patch": f"""with {_DAU_ROWS},
+trend as (select * from dau order by activity_date limit 20)
+select cast(activity_date as varchar) as date,
+  daily_active_users + case when activity_date = (select max(activity_date) from trend)
+    then (select count(distinct user_id) from events) else 0 end as daily_active_users,
+  total_events, avg_events_per_user
+from trend""",
     "live_dau": "select cast(ts as date) as day, count(distinct user_id) as live_users from events group by 1",
     "live_recent": f"""with {_EV}
 select event_id, user_id, event_type, event_timestamp from ev order by event_timestamp desc, event_id desc limit 10""",

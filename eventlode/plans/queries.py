@@ -281,25 +281,42 @@ def run_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+def _totals(spark: SparkSession, totals: DataFrame, label: str) -> DataFrame:
+    """Run a running total to the end of its input and read its last state."""
+    lake = lake_of(spark, label)
+    jobs.finish([live.keep_totals(totals, lake.table("totals"), lake.checkpoint("totals"), "available_now", label)])
+    return live.read_totals(spark, lake.table("totals"), totals.schema)
+
+
+def _live_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = validate.route(jobs.bronze_rows(messages_of(spark, sf_dir)))
+    feed = decode_feed(jobs.feed_rows(validate.accepted(routed).drop("event_timestamp")))
+    return _totals(spark, live.revenue(feed), "live-revenue")
+
+
 @query
 def live_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = lake_of(spark, "live-revenue")
-    feed = decode_feed(jobs.feed_rows(validate.accepted(validate.route(
-        jobs.bronze_rows(messages_of(spark, sf_dir))
-    )).drop("event_timestamp")))
-    totals = live.revenue(feed)
-    jobs.finish([live.keep_totals(totals, lake.table("totals"), lake.checkpoint("totals"), "available_now",
-                                  "live_revenue")])
-    return tidy(live.read_totals(spark, lake.table("totals"), totals.schema))
+    return tidy(_live_revenue(spark, sf_dir))
+
+
+@query
+def live_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored summary with the live purchases on top."""
+    stored = kpis.summary(_revenue_mart(spark, sf_dir), _churn_mart(spark, sf_dir))
+    return tidy(kpis.with_live_revenue(stored, _live_revenue(spark, sf_dir)))
 
 
 @query
 def live_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = lake_of(spark, "live-dau")
-    totals = live.users_per_day(given.stream_events(spark, sf_dir))
-    jobs.finish([live.keep_totals(totals, lake.table("totals"), lake.checkpoint("totals"), "available_now",
-                                  "live_dau")])
-    return tidy(live.read_totals(spark, lake.table("totals"), totals.schema))
+    return tidy(_totals(spark, live.users_per_day(given.stream_events(spark, sf_dir)), "live-dau"))
+
+
+@query
+def live_dau_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored trend with the users of the live stream added to its newest date."""
+    mart = _stored_mart(spark, "daily_active_users", marts.daily_active_users(mart_facts(spark, sf_dir)))
+    users = _totals(spark, live.distinct_users(given.stream_events(spark, sf_dir)), "live-users")
+    return tidy(kpis.with_live_users(kpis.dau_trend(mart, days=20), users))
 
 
 @query

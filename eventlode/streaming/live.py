@@ -18,12 +18,21 @@ def revenue(feed: DataFrame) -> DataFrame:
     )
 
 
-def users_per_day(events: DataFrame) -> DataFrame:
-    """Exact distinct users per day; state holds one row per (day, user).
+def distinct_users(events: DataFrame) -> DataFrame:
+    """Users seen since the stream began."""
+    return events.where(F.col("user_id").isNotNull()).select("user_id").dropDuplicates(["user_id"]).agg(
+        F.count("*").alias("live_users")
+    )
+
+
+def users_per_day(events: DataFrame, since: str | None = None) -> DataFrame:
+    """Exact distinct users per day; state holds one row per (day, user) from ``since`` on.
 
     Streams cannot count distinct values directly, so pairs are first reduced to one each. Spread
     over the pairs, no task depends on how busy a day or a user is.
     """
+    if since is not None:
+        events = events.where(F.col("event_timestamp") >= F.lit(since).cast("timestamp"))
     pairs = events.where(F.col("user_id").isNotNull()).select(
         F.to_date("event_timestamp").alias("day"), "user_id"
     ).dropDuplicates(["day", "user_id"])
