@@ -12,19 +12,24 @@ from eventlode.operators.runlog import logged_run
 from eventlode.operators.scd2 import UpgradeRule, apply_scd2
 from eventlode.operators.sessions import explode_sessions
 from eventlode.schemas import BRONZE, CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, SILVER_SESSION
-from eventlode.sources.tables import BucketedTable, ParquetStore, read_partition
+from eventlode.sources.tables import BucketedTable, JdbcStore, ParquetStore, read_partition
 
 
 @dataclass
 class Warehouse:
-    """The star schema of one deployment."""
+    """The star schema of one deployment.
+
+    Dimensions, marts and logs live in ``store``, versioned Parquet unless given; facts are always
+    the bucketed table.
+    """
 
     spark: SparkSession
     root: str
     fact_buckets: int = 1024
+    store: ParquetStore | JdbcStore | None = None
 
     def __post_init__(self) -> None:
-        self.store = ParquetStore(self.spark, f"{self.root}/tables")
+        self.store = self.store or ParquetStore(self.spark, f"{self.root}/tables")
         self.facts = BucketedTable(self.spark, f"{self.root}/fact_events", FACT_EVENTS, "idempotency_key",
                                    "load_date", self.fact_buckets)
 

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlode.functions.inline import inline_rows
+from eventlode.session import materialize
 
 
 def path_missing(error: AnalysisException) -> bool:
@@ -142,7 +143,13 @@ class JdbcStore:
                                         numPartitions=parts, properties=self.properties)
         return self.spark.read.jdbc(self.url, name, properties=self.properties)
 
+    def exists(self, name: str) -> bool:
+        """A database's tables are created by its own definitions, so they are there."""
+        return True
+
     def overwrite(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        # The new rows often come from the table itself: compute them before it is emptied.
+        df = materialize(df, f"replace-{name}")
         df.write.option("truncate", "true").jdbc(self.url, name, mode="overwrite", properties=self.properties)
 
     def append(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
