@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, difference
-
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+from eventlode.plans.oracle import ORACLE_SQL as SQL
+from eventlode.plans.queries import QUERIES
 
 # At the smallest scale no user has been idle for thirty days.
 MAY_BE_EMPTY = {"kpi_churn_high"}
@@ -18,6 +18,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
