@@ -87,8 +87,16 @@ def batches(columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+# Rows handed to Python at once. Texts may be long, and a task holds a batch several times over.
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` that skips empty batches."""
+    """``mapInArrow`` that skips empty batches and keeps batches small, in this session from now on."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_CONF)) <= BATCH_ROWS:
+        conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return fn(x for x in items if x.num_rows)

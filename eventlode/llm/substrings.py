@@ -119,9 +119,8 @@ def _candidates(docs: DataFrame, size: int) -> DataFrame:
         return rows
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, block, held = WordHashes(), [], 0
         for batch in items:
-            block, held = [], 0
             hot, many = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchors", "many"))
             for k, (doc_id, raw) in enumerate(zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True)):
                 words = raw.split()
@@ -137,8 +136,8 @@ def _candidates(docs: DataFrame, size: int) -> DataFrame:
                 if held > BLOCK_WINDOWS:
                     yield _suffix_batch(rows_of(block))
                     block, held = [], 0
-            if block:
-                yield _suffix_batch(rows_of(block))
+        if block:
+            yield _suffix_batch(rows_of(block))
 
     return map_arrow(docs, run, _SUFFIX)
 
