@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlode.session import materialize
@@ -33,6 +33,9 @@ from .components import components
 # log2 of the sketch's counters. More of them tell frequencies apart in larger corpora (4 bytes each in every task).
 SKETCH_BITS = 20
 SLICE = 1 << 14
+# Steps in a doubling of the frequency. Small ones tell a counter that holds a frequent shingle from the many that only
+# hold as many rare ones as any other.
+STEPS = 16
 # A prefix may be lengthened by so many shingles at most; requirements run from 1 to this.
 MOST_MATCHES = 4
 # Cost of checking one candidate against the cost of reading one posting.
@@ -82,7 +85,7 @@ def _survey(docs: DataFrame, size: int, bits: int) -> DataFrame:
 
 
 def _sketch(survey: DataFrame, bits: int) -> np.ndarray:
-    """The summed sketch: log2 of each counter. Its size is fixed, so it may go to the driver and to every task."""
+    """The summed sketch: each counter's logarithm. Its size is fixed, so it may go to the driver and to every task."""
 
     def add(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -90,22 +93,25 @@ def _sketch(survey: DataFrame, bits: int) -> np.ndarray:
             for k, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 part = np.frombuffer(raw, np.uint32).astype(np.uint64)
                 sums[k] = sums[k] + part if k in sums else part
-        logs = {k: np.log2(np.maximum(v, 1)).astype(np.uint8) for k, v in sums.items()}
+        logs = {k: (np.log2(np.maximum(v, 1)) * STEPS).astype(np.uint16) for k, v in sums.items()}
         yield batches({"slice": pa.array(list(logs), pa.int32()),
                        "logs": pa.array([v.tobytes() for v in logs.values()], pa.binary())})
 
     width = min(SLICE, 1 << bits)
     slices = survey.where("slice is not null").select("slice", "counts").repartition((1 << bits) // width, "slice")
-    out = np.zeros(1 << bits, np.uint8)
+    out = np.zeros(1 << bits, np.uint16)
     for row in map_arrow(slices, add, "slice int, logs binary").collect():
-        out[row.slice * width : (row.slice + 1) * width] = np.frombuffer(row.logs, np.uint8)
+        out[row.slice * width : (row.slice + 1) * width] = np.frombuffer(row.logs, np.uint16)
     return out
 
 
 def _ordered_tokens(found: np.ndarray, logs: np.ndarray, bits: int) -> np.ndarray:
-    """Shingles as non-negative numbers in the global order: 5 bits of frequency, then 58 bits of hash."""
-    rank = np.minimum(logs[found >> np.uint64(64 - bits)], 31).astype(np.uint64)
-    tokens = (rank << np.uint64(58)) | (found >> np.uint64(6))
+    """Shingles as non-negative numbers in the global order: 9 bits of frequency, then 54 bits of hash.
+
+    The hash keeps its low bits, as the high ones choose the counter.
+    """
+    rank = np.minimum(logs[found >> np.uint64(64 - bits)], 511).astype(np.uint64)
+    tokens = (rank << np.uint64(54)) | (found & np.uint64((1 << 54) - 1))
     tokens.sort()
     return tokens
 
@@ -124,7 +130,7 @@ def prefix_choice(tokens: np.ndarray, percent: int) -> tuple[int, int]:
     n = len(tokens)
     first = n - least_overlap(n, percent) + 1
     most = min(MOST_MATCHES, n - first + 1)
-    loads = np.cumsum(np.exp2((tokens[: first + most - 1] >> np.uint64(58)).astype(np.float64)))
+    loads = np.cumsum(np.exp2((tokens[: first + most - 1] >> np.uint64(54)).astype(np.float64) / STEPS))
     costs = [loads[first + m - 2] * (1 + CHECK_COST / m) for m in range(1, most + 1)]
     best = int(np.argmin(costs)) + 1
     return best, first + best - 1
@@ -155,8 +161,14 @@ def _prefixes(docs: DataFrame, logs, size: int, percent: int, bits: int) -> Data
     return map_arrow(docs, run, "doc_id long, n long, asked int, prefix array<long>")
 
 
-def _similar(a: str, b: str, percent: int) -> str:
-    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
+def _possible(x: str, y: str, percent: int) -> str:
+    """Whether two postings of a list leave their documents enough to share.
+
+    Before the shingle they can share no more than either has shingles that any other document holds (``before``), and
+    after it no more than either has left.
+    """
+    most = f"least({x}before, {y}before) + least({x}n - {x}place, {y}n - {y}place)"
+    return f"({most}) * {100 + percent} >= {percent} * ({x}n + {y}n)"
 
 
 def _provable(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
@@ -233,25 +245,31 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each posting with the leader of its list, its smallest document, if sizes allow a link."""
+    """Each posting with the leader of its list, if sizes allow a link.
+
+    The leader is the document with the most shared postings: in a group of near copies one that differs little from
+    the others, as its own changes would be postings of its own.
+    """
     leaders = postings.groupBy("token").agg(
-        F.min(F.struct("doc_id", "n", "component")).alias("leader"))
-    met = postings.join(leaders, "token").where("component <> leader.component").where(_similar("n", "leader.n", percent))
+        F.min(F.struct("alone", "doc_id", "n", "component", "place", "before")).alias("leader"))
+    met = postings.join(leaders, "token").where("component <> leader.component").where(_possible("", "leader.", percent))
     return met.select(F.col("leader.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
 def _outside(postings: DataFrame) -> DataFrame:
     """The postings that are not in the component of their list's leader."""
-    leaders = postings.groupBy("token").agg(F.min(F.struct("doc_id", "component")).alias("leader"))
+    leaders = postings.groupBy("token").agg(F.min(F.struct("alone", "doc_id", "component")).alias("leader"))
     return postings.join(leaders, "token").where("component <> leader.component").drop("leader")
 
 
 def _rest_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list in different components: the rows outside the leader's component against the list."""
-    x = _outside(postings).select("token", F.col("doc_id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))
-    y = postings.select("token", F.col("doc_id").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-    met = x.join(y, "token").where("c_x <> c_y").where(_similar("n_x", "n_y", percent))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("token", *[F.col(c).alias(name + c) for c in ("doc_id", "n", "component", "place", "before")])
+
+    met = side(_outside(postings), "x_").join(side(postings, "y_"), "token").where("x_component <> y_component")
+    met = met.where(_possible("x_", "y_", percent))
+    return met.select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS,
@@ -274,9 +292,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, sketch
     prefixes = materialize(
         _prefixes(docs.where("doc_id is not null"), logs, size, percent, sketch_bits).join(chosen, "doc_id", "left_semi"), "jaccard-prefixes")
 
-    postings = prefixes.select("doc_id", "n", F.explode("prefix").alias("token"))
+    postings = prefixes.select("doc_id", "n", F.posexplode("prefix").alias("place", "token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("met")).where("met > 1").select("token")
-    postings = _labelled(postings.join(shared, "token", "left_semi"), None)
+    postings = postings.join(shared, "token", "left_semi")
+    own = Window.partitionBy("doc_id")
+    postings = postings.withColumns({"alone": -F.count("*").over(own), "before": F.row_number().over(own.orderBy("place")) - 1})
+    postings = _labelled(postings, None)
     links = None
     labels = None
     for step in ("leaders", "leaders of the rest", "all that is left"):

@@ -32,7 +32,7 @@ PREFIX = 8
 # Occurrences of an anchor above which its suffixes are split by longer prefixes.
 FEW = 5_000
 # Candidate windows compared within a task at once.
-BLOCK_WINDOWS = 400_000
+BLOCK_WINDOWS = 150_000
 
 
 def window_anchors(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +188,7 @@ def _repeats(suffixes: DataFrame, size: int) -> DataFrame:
         for batch in items:
             for row in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "start", "n", "words")), strict=True):
                 # Whole groups only: the rows of a key stay together.
-                if windows > BLOCK_WINDOWS // 4 and row[0] != held[-1][0]:
+                if windows > BLOCK_WINDOWS and row[0] != held[-1][0]:
                     yield out(held)
                     held, windows = [], 0
                 held.append(row)
