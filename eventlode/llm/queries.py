@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from .brown import op10_brown_scores
 from .chat import OP4_SQL, op4_chat_formatting
 from .jaccard import op9_jaccard_join
+from .pieces import op2_sentencepiece
 from .quality import op8_quality_rules
 from .secrets import op5_secret_scan
 from .substrings import op6_substring_dedup
 from .warc import OP7_SQL, op7_warc_segments
 
 QUERIES = {f.__name__: f for f in (
+    op2_sentencepiece,
     op4_chat_formatting,
     op5_secret_scan,
     op6_substring_dedup,
     op7_warc_segments,
     op8_quality_rules,
     op9_jaccard_join,
+    op10_brown_scores,
 )}
 
 ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op7_warc_segments": OP7_SQL}
