@@ -20,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .common import batches, byte_texts, ids_and_texts, list_array, map_arrow, table
 
@@ -190,29 +191,40 @@ def _compiled(path: str) -> Transducer:
     return Transducer.load(path)
 
 
-def encode_pieces(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids and ``round_trip``, whether decoding the ids gives the text back.
+_PIECES = "n_tokens long, ids array<int>, round_trip boolean"
+
+
+def add_pieces(docs: DataFrame, model_path: str | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` with n_tokens, ids and round_trip; columns of these names that it had before are replaced.
 
     The model is compiled on the driver and sent to the tasks, which need no file. Null and empty texts have no ids.
-    ``round_trip`` is false for texts that hold the space mark itself, which decodes to a space. Repeated rows and null
-    ids get their own rows. An empty table gives an empty result.
+    ``round_trip``, whether decoding the ids gives the text back, is false for texts that hold the space mark itself,
+    which decodes to a space. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(_compiled(model_path or default_model()))
+    given = docs.drop("n_tokens", "ids", "round_trip")
+    names = given.columns
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value
         for batch in items:
             found, same = [], []
-            for raw in byte_texts(batch.column("text")):
+            for raw in byte_texts(batch.column(text_col)):
                 text = raw.decode("utf-8", "replace")
                 ids = machine.encode(text)
                 found.append(np.array(ids, np.int32))
                 same.append(machine.decode(ids) == text)
             lengths = np.array([len(x) for x in found])
-            yield batches({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(lengths, pa.int64()),
+            yield batches({**{c: batch.column(c) for c in names}, "n_tokens": pa.array(lengths, pa.int64()),
                            "ids": list_array(np.concatenate(found), lengths, pa.int32()), "round_trip": pa.array(same, pa.bool_())})
 
-    return map_arrow(ids_and_texts(docs, id_col, text_col), run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    kinds = T._parse_datatype_string(_PIECES)
+    return map_arrow(given, run, T.StructType([*given.schema.fields, *kinds.fields]))
+
+
+def encode_pieces(docs: DataFrame, model_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids and round_trip, as in ``add_pieces``. Null ids get their own rows."""
+    return add_pieces(ids_and_texts(docs, id_col, text_col), model_path).drop("text")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from .brown import op10_brown_scores
 from .chat import OP4_SQL, op4_chat_formatting
 from .jaccard import op9_jaccard_join
+from .leaks import op1_decontamination
+from .licenses import op3_license_scan
 from .pieces import op2_sentencepiece
 from .quality import op8_quality_rules
 from .secrets import op5_secret_scan
@@ -12,7 +14,9 @@ from .substrings import op6_substring_dedup
 from .warc import OP7_SQL, op7_warc_segments
 
 QUERIES = {f.__name__: f for f in (
+    op1_decontamination,
     op2_sentencepiece,
+    op3_license_scan,
     op4_chat_formatting,
     op5_secret_scan,
     op6_substring_dedup,
