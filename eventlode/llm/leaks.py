@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,11 +78,37 @@ class Space:
 
 def _token_ids(words: list[bytes], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words in the vocabulary, and their places."""
-    found = np.array([ids.get(w, -1) for w in words], np.int64)
+    found = np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
     places = np.flatnonzero(found >= 0)
     return found[places], places
 
 
+# Runs longer than this are summed in pieces; rows summed at once, few enough to stay in a core's cache.
+PIECE, ROWS_AT_ONCE = 32, 1_024
+
+
+def run_sums(vectors: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of ``vectors[index]`` over each run of ``index``; runs begin at ``first``.
+
+    The k-th members of many runs are added at once, longest runs first, so that no run needs padding.
+    """
+    pieces, sizes = first, np.diff(np.append(first, len(index)))
+    if sizes.max() > PIECE:
+        pieces = np.union1d(first, np.arange(0, len(index), PIECE))
+        sizes = np.diff(np.append(pieces, len(index)))
+    order = np.argsort(-sizes, kind="stable")
+    out = np.empty((len(pieces), vectors.shape[1]), vectors.dtype)
+    for lo in range(0, len(order), ROWS_AT_ONCE):
+        own = order[lo : lo + ROWS_AT_ONCE]
+        at, shorter = pieces[own], -sizes[own]
+        sums = vectors[index[at]]
+        for k in range(1, -shorter[0]):
+            held = np.searchsorted(shorter, -k)
+            sums[:held] += vectors[index[at[:held] + k]]
+        out[own] = sums
+    return out if len(pieces) == len(first) else np.add.reduceat(out, np.searchsorted(pieces, first), axis=0)
+
+
 def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Sums over passages that don't overlap: (T'T test, passage frequencies, passages), T telling which words occur.
 
@@ -115,11 +142,11 @@ def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[n
             if not len(row):
                 continue
             first = np.flatnonzero(np.diff(row, prepend=-1))
-            sums = np.add.reduceat(omega[word], first, axis=0)
+            sums = run_sums(omega, word, first)
             back = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
             order = np.argsort(word, kind="stable")
             starts = np.flatnonzero(np.diff(word[order], prepend=-1))
-            total[word[order][starts]] += np.add.reduceat(sums[back[order]], starts, axis=0)
+            total[word[order][starts]] += run_sums(sums, back[order], starts)
         yield batches({"part": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "seen": pa.array([seen.tobytes()], pa.binary()), "n": pa.array([passages], pa.int64())})
 
     def add(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +250,7 @@ def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) ->
                 row = np.concatenate(rows)
                 first = np.flatnonzero(np.diff(row, prepend=-1))
                 sums = np.zeros((at + 1, weighted.shape[1]), np.float32)
-                sums[row[first]] = np.add.reduceat(weighted[flat], first, axis=0)
+                sums[row[first]] = run_sums(weighted, flat, first)
                 passages = sums[:-1] + sums[1:]
                 length = np.linalg.norm(passages, axis=1, keepdims=True)
                 passages /= np.maximum(length, 1e-12)
