@@ -7,8 +7,8 @@ encoding is its shortest path in the tropical semiring (the least sum of weights
 Unigram models weigh an arc by the piece's negative score. A model trained by merges has no such weights; its encoding is
 the path on which every two neighbours are what merging their joined text gives. Its lattice therefore has an arc for
 each pair of neighbours, of weight 0 if they agree and infinite otherwise, and the shortest path is the one of weight 0.
-No piece holds a space mark after other characters, so the lattice falls apart before each run of marks, and the paths of
-such parts are remembered.
+No piece holds a space mark after other characters, so the lattice falls apart before each run of marks, and also between
+any two characters that no piece holds side by side. The paths of such parts are remembered.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,17 +49,36 @@ class Transducer:
         self.unknown = next(k for k, (_, _, kind) in enumerate(pieces) if kind == 2)
         self.silent = {k for k, (_, _, kind) in enumerate(pieces) if kind == 3}
         self.longest = max(map(len, self.arcs), default=1)
+        # Neighbouring characters that some piece holds. Between any others no arc can pass, so the lattice falls apart.
+        self.joined = {x + y for piece in self.arcs for x, y in zip(piece, piece[1:])}
+        special = set(self.bytes_) | self.silent | {self.unknown}
+        self.special = np.array([k in special for k in range(len(pieces))], np.bool_)
         self.unigram, self.dummy_prefix, self.squeeze = unigram, dummy_prefix, squeeze
         inner = any(MARK in p.lstrip(MARK) for p in self.arcs)
         self.cut = None if inner else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self._forget()
-
-    def __getstate__(self):
-        return self.__dict__ | {"paths": {}, "pairs": {}}
-
-    def _forget(self) -> None:
         self.paths: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.machine = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"paths": {}, "pairs": {}, "machine": None}
+
+    def _arcs_in(self, part: str):
+        """(last place, piece) of every arc of a part's lattice, by place, longer pieces first."""
+        if self.machine is None:
+            self.machine = ahocorasick.Automaton()
+            for piece in self.arcs:
+                self.machine.add_word(piece, piece)
+            self.machine.make_automaton()
+        return self.machine.iter(part)
+
+    def _cut_apart(self, part: str) -> Iterator[str]:
+        at = 0
+        for k in range(1, len(part)):
+            if part[k - 1 : k + 1] not in self.joined:
+                yield part[at:k]
+                at = k
+        yield part[at:]
 
     @classmethod
     def load(cls, path: str) -> Transducer:
@@ -95,11 +115,8 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _agree(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            found = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
+    def _agree(self, pair: tuple[str, str]) -> bool:
+        found = self.pairs[pair] = self.merged(pair[0] + pair[1]) == [x for x in pair if x]
         return found
 
     def _merge_path(self, part: str) -> list[str]:
@@ -107,16 +124,21 @@ class Transducer:
         if part[:2] == MARK * 2:
             # Pieces of several marks weigh the same, so neighbours alone don't decide between them; the merges do.
             return self.merged(part)
-        last = [""] * (len(part) + 1)
-        reached = [True] + [False] * len(part)
-        arcs, longest = self.arcs, self.longest
-        for end in range(1, len(part) + 1):
-            for start in range(max(0, end - longest), end):
-                piece = part[start:end]
-                if reached[start] and (piece in arcs or start == end - 1) and self._agree(last[start], piece):
-                    last[end], reached[end] = piece, True
-                    break
-        if not reached[-1]:
+        if len(part) == 1:
+            return [part]
+        # None: no path of weight 0 leads here.
+        last: list[str | None] = ["", *[None] * len(part)]
+        pairs = self.pairs
+        for place, piece in self._arcs_in(part):
+            end = place + 1
+            if last[end] is None:
+                before = last[end - len(piece)]
+                if before is not None:
+                    pair = (before, piece)
+                    agree = pairs.get(pair)
+                    if agree or (agree is None and self._agree(pair)):
+                        last[end] = piece
+        if last[-1] is None:
             return self.merged(part)
         out, at = [], len(part)
         while at:
@@ -140,21 +162,32 @@ class Transducer:
             at = begin[at]
         return out[::-1]
 
-    def _path(self, part: str) -> tuple[int, ...]:
-        ids: list[int] = []
+    def _ids(self, part: str) -> Iterator[int]:
         for piece in self._unigram_path(part) if self.unigram else self._merge_path(part):
             k = self.arcs.get(piece)
             if k is not None:
-                ids.append(k)
+                yield k
             elif self.bytes_:
-                ids += [self.bytes_[b] for b in piece.encode("utf-8", "surrogatepass")]
+                yield from (self.bytes_[b] for b in piece.encode("utf-8", "surrogatepass"))
             else:
-                ids.append(self.unknown)
+                yield self.unknown
+
+    def _path(self, part: str) -> tuple[int, ...]:
+        ids: list[int] = []
+        for own in self._cut_apart(part):
+            found = self.paths.get(own)
+            if found is None:
+                found = tuple(self._ids(own))
+                if len(own) < 64:
+                    self.paths[own] = found
+            ids += found
         return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
-        if len(self.paths) > MEMORY or len(self.pairs) > 2 * MEMORY:
-            self._forget()
+        if len(self.paths) > MEMORY:
+            self.paths.clear()
+        if len(self.pairs) > 2 * MEMORY:
+            self.pairs.clear()
         paths, out = self.paths, []
         text = self.normalise(text)
         for part in (self.cut.findall(text) if self.cut else [text] if text else []):
@@ -168,19 +201,29 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """The inverse machine: pieces to text, runs of byte pieces as UTF-8 (broken ones as U+FFFD), marks to spaces."""
+        words = self.words
         parts: list[str] = []
         run = bytearray()
-        byte_of, words, silent = self.byte_of, self.words, self.silent
-        for k in ids:
-            b = byte_of.get(k)
+        at = 0
+        # Only byte, control and unknown pieces need a look of their own; the words between them are joined at once.
+        for place in [*np.flatnonzero(self.special[np.array(ids, np.int64)]).tolist(), len(ids)]:
+            if place > at:
+                parts.append(run.decode("utf-8", "replace"))
+                run.clear()
+                parts.extend(map(words.__getitem__, ids[at:place]))
+            at = place + 1
+            if place == len(ids):
+                break
+            k = ids[place]
+            b = self.byte_of.get(k)
             if b is not None:
                 run.append(b)
-                continue
-            if run:
+            elif k not in self.silent:
+                parts += [run.decode("utf-8", "replace"), " ⁇ "]
+                run.clear()
+            else:
                 parts.append(run.decode("utf-8", "replace"))
                 run.clear()
-            if k not in silent:
-                parts.append(words[k] if k != self.unknown else " ⁇ ")
         parts.append(run.decode("utf-8", "replace"))
         text = "".join(parts).replace(MARK, " ")
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
