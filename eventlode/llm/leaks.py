@@ -5,6 +5,8 @@
    with its transpose and a random test matrix. The leading eigenvectors follow from this sketch (a Nystrom form of the
    randomised SVD). The sample only shapes the index; every passage of every text is searched.
 2. Passages and benchmark items are projected on these directions. Passages close to an item by cosine are candidates.
+   So are those that repeat a run of an item's words, however frequent. For items that could leak by
+   common words alone, which weigh little in the space, every passage with enough of their words is a candidate.
 3. A candidate is confirmed if the longest common subsequence of words covers enough of the item, or somewhat less and
    its answer, the item's last sentence, is there too. Paraphrases keep the order of most words and pass.
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, byte_texts, ids_and_texts, map_arrow, table
+from .common import batches, byte_texts, ids_and_texts, map_arrow, table, window_hashes
 
 # Words in half a passage; passages overlap by half.
 HALF = 16
@@ -34,8 +36,12 @@ RANK, EXTRA = 160, 16
 LEAST_COSINE = 0.55
 # Documents, about, whose passages the directions are fitted on; all of them if there are fewer.
 SAMPLE_DOCS = 20_000
-# Words in a larger share of the passages have no weight.
-MOST_COMMON = 0.1
+# Words in a larger share of the passages are common. Items that could leak by them alone are searched by counts, not cosine.
+MOST_COMMON = 0.05
+# Consecutive words of an item that make a passage a candidate; shorter items as a whole.
+RUN = 5
+# Items whose words are counted at once.
+COUNTED_ITEMS = 64
 # Shares of an item's words in common order: enough alone, and enough together with the answer's share.
 LEAST_COMMON, LEAST_WITH_ANSWER, LEAST_ANSWER = 0.6, 0.45, 0.8
 # Benchmark items compared at once. More are processed in blocks of this size.
@@ -74,15 +80,73 @@ class Space:
     directions: np.ndarray  # words x rank
     items: list[tuple[int, list[bytes], list[bytes]]]  # id, words, answer
     vectors: np.ndarray  # items x rank, unit length
+    common: np.ndarray  # items that could leak by common words alone
+
+
+def _all_ids(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
+    """Ids of the words, -1 outside the vocabulary."""
+    return np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
 
 
 def _token_ids(words: list[bytes], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words in the vocabulary, and their places."""
-    found = np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
+    found = _all_ids(words, ids)
     places = np.flatnonzero(found >= 0)
     return found[places], places
 
 
+class Runs:
+    """Runs of consecutive words of the items, by hash. Collisions only give candidates that are then refused."""
+
+    def __init__(self, space: Space):
+        by_size: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, words, _) in enumerate(space.items):
+            size = min(RUN, len(words))
+            hashes = window_hashes(_all_ids(words, space.ids).astype(np.uint64), size)
+            by_size.setdefault(size, []).extend((int(h), k) for h in np.unique(hashes))
+        self.by_size = []
+        for size, pairs in by_size.items():
+            pairs.sort()
+            self.by_size.append((size, np.array([h for h, _ in pairs], np.uint64), np.array([k for _, k in pairs], np.int64)))
+
+    def find(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, item) of every run of an item in the word ids ``found``."""
+        places, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        known = np.concatenate([[0], np.cumsum(found >= 0)])
+        for size, hashes, owners in self.by_size:
+            at = np.flatnonzero(known[size:] - known[:-size] == size)
+            if not len(at):
+                continue
+            own = window_hashes(found.astype(np.uint64), size)[at]
+            first = np.searchsorted(hashes, own)
+            hit = np.flatnonzero(hashes[np.minimum(first, len(hashes) - 1)] == own)
+            first, at = first[hit], at[hit]
+            many = np.searchsorted(hashes, own[hit], "right") - first
+            within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            places.append(np.repeat(at, many))
+            items.append(owners[np.repeat(first, many) + within])
+        return np.concatenate(places), np.concatenate(items)
+
+
+def counted(space: Space, flat: np.ndarray, row: np.ndarray, halves: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(passages, item) that may hold enough words of a common item, from the words ``flat`` of the halves ``row``."""
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    for lo in range(0, len(space.common), COUNTED_ITEMS):
+        own = space.common[lo : lo + COUNTED_ITEMS]
+        member = np.zeros((len(space.ids), len(own)), np.float32)
+        for c, k in enumerate(own):
+            member[[space.ids[w] for w in space.items[k][1]], c] = 1
+        sums = np.zeros((halves + 1, len(own)), np.int64)
+        sums[row[first] + 1] = run_sums(member, flat, first)
+        np.cumsum(sums, axis=0, out=sums)
+        for c, k in enumerate(own):
+            # The halves that the passage and an item's length on both sides touch.
+            reach = -(-len(space.items[k][1]) // HALF)
+            at = np.arange(halves)
+            words = sums[np.minimum(at + 2 + reach, halves), c] - sums[np.maximum(at - reach, 0), c]
+            yield np.flatnonzero(words >= LEAST_WITH_ANSWER * len(space.items[k][1])), int(k)
+
+
 # Runs longer than this are summed in pieces; rows summed at once, few enough to stay in a core's cache.
 PIECE, ROWS_AT_ONCE = 32, 1_024
 
@@ -189,8 +253,10 @@ def fit(docs: DataFrame, items: list[tuple[int, bytes]], rank: int = RANK, extra
         sums[own] += test[own].sum(axis=0)
         seen[own] += 1
     idf = np.log((passages + len(split) + 1) / (seen + 1))
-    # Squared, so that the rare words decide. Very common ones keep a trace only, which D below needs.
-    weights = np.where(seen > MOST_COMMON * (passages + len(split)), 1e-3, np.maximum(idf, 1e-3) ** 2)
+    # Squared, so that the rare words decide. Every word keeps a weight, which D below needs.
+    weights = np.maximum(idf**2, 1e-3)
+    often = seen > MOST_COMMON * (passages + len(split))
+    common = [k for k, (_, words, _) in enumerate(split) if np.count_nonzero(often[[ids[w] for w in words]]) >= LEAST_WITH_ANSWER * len(words)]
     # With D = diag(weights) and M = D T'T D: M applied to the test matrix inverse(D) test is D times the sums.
     applied = weights[:, None] * sums
     core = test.T @ sums
@@ -201,7 +267,7 @@ def fit(docs: DataFrame, items: list[tuple[int, bytes]], rank: int = RANK, extra
     vectors = np.array([(weights[[ids[w] for w in words], None] * directions[[ids[w] for w in words]]).sum(axis=0) for _, words, _ in split])
     vectors = vectors.reshape(len(split), directions.shape[1])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
-    return Space(ids, weights, directions, split, vectors.astype(np.float32))
+    return Space(ids, weights, directions, split, vectors.astype(np.float32), np.array(common, np.int64))
 
 
 _FOUND = "doc_id long, item_id long, start_word long, cosine double, common double, answer double, leaked boolean"
@@ -217,9 +283,9 @@ def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) ->
             _, item, answer = s.items[k]
             # The passage and, on both sides, as many words as the item has.
             start = max(0, half * HALF - len(item))
-            part = words[start : half * HALF + 2 * HALF + len(item)]
+            part = [w for w in words[start : half * HALF + 2 * HALF + len(item)] if w in held[k]]
             # No more words can be in common than there are words of the item.
-            if sum(w in held[k] for w in part) < LEAST_WITH_ANSWER * len(item):
+            if len(part) < LEAST_WITH_ANSWER * len(item):
                 continue
             common = common_length(item, part) / len(item)
             if k not in by_item or common > by_item[k][2]:
@@ -232,17 +298,22 @@ def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) ->
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
         weighted = (s.weights[:, None] * s.directions).astype(np.float32)
-        heavy = s.weights > 1e-3
+        sequences = Runs(s)
+        gap = np.full(RUN, -1)
         held = [set(item) for _, item, _ in s.items]
         for batch in items:
             texts = [_words(x) for x in byte_texts(batch.column("text"))]
             halves, tokens, rows, at = [], [], [], 0
+            every, begins, length = [], [], 0
             for words in texts:
-                own, places = _token_ids(words, s.ids)
-                told = heavy[own]
-                tokens.append(own[told])
-                rows.append(at + places[told] // HALF)
+                found = _all_ids(words, s.ids)
+                places = np.flatnonzero(found >= 0)
+                tokens.append(found[places])
+                rows.append(at + places // HALF)
                 halves.append(at)
+                every += [found, gap]
+                begins.append(length)
+                length += len(found) + RUN
                 at += -(-len(words) // HALF) + 1
             flat = np.concatenate(tokens)
             out = []
@@ -252,15 +323,21 @@ def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) ->
                 sums = np.zeros((at + 1, weighted.shape[1]), np.float32)
                 sums[row[first]] = run_sums(weighted, flat, first)
                 passages = sums[:-1] + sums[1:]
-                length = np.linalg.norm(passages, axis=1, keepdims=True)
-                passages /= np.maximum(length, 1e-12)
-                hits: dict[int, list] = {}
+                passages /= np.maximum(np.linalg.norm(passages, axis=1, keepdims=True), 1e-12)
                 starts = np.array(halves)
+                pairs = []
                 for lo in range(0, len(passages), 4096):
-                    cosines = passages[lo : lo + 4096] @ s.vectors.T
-                    for p, k in np.argwhere(cosines >= least_cosine):
-                        doc = int(np.searchsorted(starts, lo + p, "right")) - 1
-                        hits.setdefault(doc, []).append((int(lo + p - starts[doc]), int(k), float(cosines[p, k])))
+                    near = np.argwhere(passages[lo : lo + 4096] @ s.vectors.T >= least_cosine)
+                    pairs.append(near + [lo, 0])
+                # Passages that begin with the half in which a run begins.
+                places, k = sequences.find(np.concatenate(every))
+                doc = np.searchsorted(begins, places, "right") - 1
+                pairs.append(np.stack([starts[doc] + (places - np.array(begins)[doc]) // HALF, k], axis=1))
+                pairs += [np.stack([p, np.full(len(p), k)], axis=1) for p, k in counted(s, flat, row, len(passages))]
+                hits: dict[int, list] = {}
+                for p, k in np.unique(np.concatenate(pairs), axis=0):
+                    doc = int(np.searchsorted(starts, p, "right")) - 1
+                    hits.setdefault(doc, []).append((int(p - starts[doc]), int(k), float(passages[p] @ s.vectors[k])))
                 ids = batch.column("doc_id").to_pylist()
                 out = [(ids[doc], *x) for doc, own in hits.items() for x in best(texts[doc], own, s, held)]
             columns = list(zip(*out, strict=True)) or [()] * 7

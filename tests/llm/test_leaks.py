@@ -64,3 +64,28 @@ def test_paraphrases_and_odd_rows(spark):
     assert sorted(kept.columns) == sorted(docs.columns) and kept.count() == len(rows) - len(want) - 2
     assert find_leaks(docs.where("false"), benchmark).count() == 0 == find_leaks(docs, benchmark.where("false")).count()
     assert items_ and np.isfinite([r.cosine for r in find_leaks(docs.limit(5), benchmark).collect()]).all()
+
+
+def test_item_in_a_third_of_the_rows(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(900)] + ["the", "of", "and"] * 40
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    items = [(k, f"What is {prose(22)}? It is {prose(6)}.") for k in range(20)] + [(20, "w1 w2")]
+    copy, parts = items[3][1], items[3][1].split()
+    rows = []
+    for k in range(600):
+        # Copies of the item alone, near copies with a line of their own, and paraphrases between other items' words.
+        changed = " ".join("other" if n % 4 == 3 else w for n, w in enumerate(parts))
+        text = (copy, f"{copy} {prose(3)}", f"{prose(30)} {changed} {prose(30)}")[k // 3 % 3] if k % 3 == 0 else prose(60)
+        rows.append((k, text))
+    rows += [(900, f"{prose(30)} {items[7][1]} {prose(30)}"), (901, items[20][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(k, 3) for k in range(0, 600, 3)} | {(900, 7), (901, 20)} <= found
+    texts = {k: t.lower().split() for k, t in rows}
+    for d, i in found:
+        item = items[i][1].lower().split()
+        assert common_length(item, texts[d]) >= 0.45 * len(item)
