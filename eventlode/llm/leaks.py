@@ -274,7 +274,8 @@ _FOUND = "doc_id long, item_id long, start_word long, cosine double, common doub
 
 
 def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) -> DataFrame:
-    """For each text and item it has candidate passages of, the passage with the longest common subsequence."""
+    """For each text and item it has candidate passages of, a passage that leaks, or else that with the longest common
+    subsequence; of several that leak, the longest's."""
     shared = docs.sparkSession.sparkContext.broadcast(space)
 
     def best(words: list[bytes], hits: list[tuple[int, int, float]], s: Space, held: list[set[bytes]]) -> Iterator[tuple]:
@@ -288,11 +289,11 @@ def search(docs: DataFrame, space: Space, least_cosine: float = LEAST_COSINE) ->
             if len(part) < LEAST_WITH_ANSWER * len(item):
                 continue
             common = common_length(item, part) / len(item)
-            if k not in by_item or common > by_item[k][2]:
-                share = common_length(answer, part) / max(1, len(answer)) if common >= LEAST_WITH_ANSWER else 0.0
-                by_item[k] = (start, cosine, common, share)
-        for k, (start, cosine, common, share) in by_item.items():
+            share = common_length(answer, part) / max(1, len(answer)) if common >= LEAST_WITH_ANSWER else 0.0
             leaked = common >= LEAST_COMMON or (common >= LEAST_WITH_ANSWER and share >= LEAST_ANSWER)
+            if k not in by_item or (leaked, common) > by_item[k][:2]:
+                by_item[k] = (leaked, common, start, cosine, share)
+        for k, (leaked, common, start, cosine, share) in by_item.items():
             yield s.items[k][0], start, cosine, common, share, leaked
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

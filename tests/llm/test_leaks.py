@@ -89,3 +89,14 @@ def test_item_in_a_third_of_the_rows(spark):
     for d, i in found:
         item = items[i][1].lower().split()
         assert common_length(item, texts[d]) >= 0.45 * len(item)
+
+
+def test_leaking_passage_before_a_longer_one(spark):
+    question, answer = [f"q{k}" for k in range(32)], [f"a{k}" for k in range(8)]
+    item = f"{' '.join(question)}? {' '.join(answer)}."
+    filler = " ".join(f"x{k}" for k in range(300))
+    # 22 of 40 words without the answer; elsewhere 20 of 40 with all of it.
+    text = f"{' '.join(question[:22])} {filler} {' '.join(question[20:31])} {question[31]}? {' '.join(answer)}."
+    docs = spark.createDataFrame([(1, text), (2, f"{' '.join(question[:22])} {filler}")], "doc_id long, text string")
+    found = find_leaks(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.common, r.answer, r.leaked) for r in found] == [(1, 0.5, 1.0, True)]
