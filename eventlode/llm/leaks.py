@@ -1,9 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Texts are cut into passages of words. Over the benchmark's vocabulary their TF-IDF vectors form a matrix that is never
-   stored: one pass over all texts sums document frequencies and, for a bounded sample of texts, the matrix's product
-   with its transpose and a random test matrix. The leading eigenvectors follow from this sketch (a Nystrom form of the
-   randomised SVD). The sample only shapes the index; every passage of every text is searched.
+   stored: one pass over all texts sums document frequencies and the matrix's product with its transpose and a random
+   test matrix. The leading eigenvectors follow from this sketch (a Nystrom form of the randomised SVD).
 2. Passages and benchmark items are projected on these directions. Passages close to an item by cosine are candidates.
    So are those that repeat a run of an item's words, however frequent. For items that could leak by
    common words alone, which weigh little in the space, every passage with enough of their words is a candidate.
@@ -30,12 +29,9 @@ from .common import batches, byte_texts, ids_and_texts, map_arrow, table, window
 # Words in half a passage; passages overlap by half.
 HALF = 16
 # Directions kept, and test vectors beyond them.
-RANK, EXTRA = 160, 16
-# Cosine from which a passage is a candidate for an item. On the given documents passages that hold half an item or more
-# have 0.72 and above, and few of all passages come this close to some item.
-LEAST_COSINE = 0.55
-# Documents, about, whose passages the directions are fitted on; all of them if there are fewer.
-SAMPLE_DOCS = 20_000
+RANK, EXTRA = 192, 16
+# Cosine from which a passage is a candidate for an item.
+LEAST_COSINE = 0.5
 # Words in a larger share of the passages are common. Items that could leak by them alone are searched by counts, not cosine.
 MOST_COMMON = 0.05
 # Consecutive words of an item that make a passage a candidate; shorter items as a whole.
@@ -176,7 +172,6 @@ def run_sums(vectors: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.nd
 def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Sums over passages that don't overlap: (T'T test, passage frequencies, passages), T telling which words occur.
 
-    Frequencies cover all texts (text, sampled), the first sum those of the sample.
     The sums have the size of the vocabulary times the test vectors. They are added up in partitions and then once more.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ids, test.astype(np.float32)))
@@ -186,14 +181,13 @@ def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[n
         known, omega = shared.value
         total, seen, passages = np.zeros((size, columns)), np.zeros(size, np.int64), 0
         for batch in items:
-            rows, words, at, chosen = [], [], 0, []
-            for raw, sampled in zip(byte_texts(batch.column("text")), batch.column("sampled").to_pylist(), strict=True):
+            rows, words, at = [], [], 0
+            for raw in byte_texts(batch.column("text")):
                 tokens = _words(raw)
                 own, places = _token_ids(tokens, known)
                 rows.append(at + places // (2 * HALF))
                 words.append(own)
                 at += -(-len(tokens) // (2 * HALF))
-                chosen += [sampled] * (at - len(chosen))
             passages += at
             # One entry per passage and word: whether it occurs.
             pairs = np.unique(np.concatenate(rows) * size + np.concatenate(words)) if rows else np.zeros(0, np.int64)
@@ -201,10 +195,6 @@ def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[n
                 continue
             row, word = pairs // size, pairs % size
             seen += np.bincount(word, minlength=size)
-            inside = np.array(chosen, np.bool_)[row]
-            row, word = row[inside], word[inside]
-            if not len(row):
-                continue
             first = np.flatnonzero(np.diff(row, prepend=-1))
             sums = run_sums(omega, word, first)
             back = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
@@ -223,9 +213,7 @@ def _sketch(docs: DataFrame, ids: dict[bytes, int], test: np.ndarray) -> tuple[n
         yield batches({"part": pa.array([total.astype(np.float32).tobytes()], pa.binary()), "seen": pa.array([seen.tobytes()], pa.binary()), "n": pa.array([passages], pa.int64())})
 
     schema = "part binary, seen binary, n long"
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    sampled = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(round(share * 1_000_000))
-    parts = map_arrow(docs.select("text", sampled.alias("sampled")), run, schema)
+    parts = map_arrow(docs.select("text"), run, schema)
     # A tree of sums: a handful of tables reach the driver, however many tasks there are.
     total, seen, passages = np.zeros(size * columns), np.zeros(size, np.int64), 0
     for row in map_arrow(parts.repartition(4), add, schema).collect():

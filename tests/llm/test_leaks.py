@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from eventlode.llm.leaks import common_length, drop_leaks, find_leaks, op1_decontamination
+from eventlode.llm.leaks import _sketch, common_length, drop_leaks, find_leaks, op1_decontamination
 
 
 def plain_common(a, b):
@@ -100,3 +100,15 @@ def test_leaking_passage_before_a_longer_one(spark):
     docs = spark.createDataFrame([(1, text), (2, f"{' '.join(question[:22])} {filler}")], "doc_id long, text string")
     found = find_leaks(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()
     assert [(r.doc_id, r.common, r.answer, r.leaked) for r in found] == [(1, 0.5, 1.0, True)]
+
+
+def test_directions_come_from_all_texts(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('w', id % 7, ' w', 7 + id % 11, ' other') AS text")
+    ids = {f"w{k}".encode(): k for k in range(18)}
+    test = np.random.default_rng(1).standard_normal((18, 5)).astype(np.float32)
+    sums, seen, passages = _sketch(docs, ids, test)
+    k = np.arange(30_000)
+    held = np.zeros((30_000, 18))
+    held[k, k % 7] = held[k, 7 + k % 11] = 1
+    assert passages == 30_000 and seen.tolist() == held.sum(axis=0).tolist()
+    assert np.allclose(sums, held.T @ (held @ test), rtol=1e-3, atol=1)
