@@ -1,16 +1,19 @@
 """License scans by conditional compression.
 
-A candidate block is a run of lines with license words. It is compressed once alone and once with each license template as
-a raw dictionary; the more a template shrinks it, the more of the template's wording it repeats. The best templates are
-then confirmed, or refused, by the exact differences in wording.
+Around each license word, as many words as a template can span are compared with every template, wherever lines end. Where
+the wording of a template is found, the passage is compressed once alone and once with the template as a raw dictionary; it
+is confirmed if that saves bytes and by the exact differences in wording. What is left of the runs of lines with license
+words, the candidate blocks, is reported with the template that shrinks it best, unconfirmed.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -39,10 +42,12 @@ TEMPLATES = {
 CUES = ("licens", "licenc", "copyright", "warrant", "permission is hereby", "redistribut", "spdx", "free software", "public domain")
 # Bytes of a line above which it is cut at sentence ends, and lines without a cue that a block may bridge.
 LONG_LINE, BRIDGE = 1_000, 2
-# Templates whose wording is compared, best reductions first, and the share of the template's words a block must have.
-CONFIRMED_AT_MOST, LEAST_SHARE = 3, 0.8
+# Share of the template's words a block must have.
+LEAST_SHARE = 0.8
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_ANY_WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
+_CUE = re.compile("|".join(map(re.escape, CUES)), re.IGNORECASE)
 
 
 def words_of(text: str) -> list[str]:
@@ -66,7 +71,7 @@ def blocks_of(text: str) -> Iterator[tuple[int, int]]:
     for k, (start, end) in enumerate(spans):
         low = text[start:end].lower()
         if any(c in low for c in CUES):
-            if found and k - found[-1][2] <= BRIDGE:
+            if found and k - found[-1][2] <= BRIDGE + 1:
                 found[-1][1:] = [end, k]
             else:
                 found.append([start, end, k])
@@ -79,6 +84,9 @@ class Matcher:
 
     def __init__(self, templates: dict[str, str]):
         self.words = {name: words_of(text) for name, text in templates.items()}
+        # Words that a notice and what is put between its words can span.
+        self.reach = {name: 2 * len(words) + 8 for name, words in self.words.items()}
+        self.furthest = max(self.reach.values(), default=0)
         self.plain = zstandard.ZstdCompressor(level=3)
         self.with_template = {
             name: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
@@ -110,7 +118,7 @@ class Matcher:
         ranked = self.reductions(block)
         words = words_of(block)
         best = None
-        for saved, name in ranked[:CONFIRMED_AT_MOST]:
+        for saved, name in ranked:
             if saved <= 0:
                 continue
             held, missing, extra = self.wording(words, name)
@@ -120,13 +128,98 @@ class Matcher:
                 best = (key, {"license": name, "saved_bytes": saved, "missing": missing, "extra": extra, "confirmed": ok})
         return best[1] if best else {"license": None, "saved_bytes": 0, "missing": [], "extra": [], "confirmed": False}
 
+    def occurrences(self, words: list[str], name: str) -> list[tuple[int, list[int], list[str], list[str]]]:
+        """(words in common less differences, places of the common words, missing, extra) of a template's confirmed notices."""
+        template, reach = self.words[name], self.reach[name]
+        own, versions = set(template), {w for w in template if any(c.isdigit() for c in w)}
+        if not template or not versions <= set(words):
+            return []
+        inside = np.concatenate([[0], np.cumsum([w in own for w in words])])
+        starts = np.flatnonzero(np.diff(inside))
+        ends = np.minimum(starts + reach, len(words))
+        starts = starts[inside[ends] - inside[starts] >= LEAST_SHARE * len(template)]
+        found, last, step = [], -len(words), len(template) // 16
+        matcher = SequenceMatcher(None, autojunk=False)
+        for start in starts.tolist():
+            # A window may begin a few words early: it still holds the notice.
+            if start < last + step:
+                continue
+            last = start
+            part = words[start : start + reach]
+            matcher.set_seqs(template, part)
+            matches = [m for m in matcher.get_matching_blocks() if m.size]
+            held = {m.a + k for m in matches for k in range(m.size)}
+            places = [start + m.b + k for m in matches for k in range(m.size)]
+            missing = [w for k, w in enumerate(template) if k not in held]
+            if len(held) < LEAST_SHARE * len(template) or versions & set(missing):
+                continue
+            within = set(places)
+            extra = [words[k] for k in range(places[0], places[-1]) if k not in within]
+            if len(held) > len(missing) + len(extra):
+                found.append((len(held) - len(missing) - len(extra), places, missing, extra))
+        chosen: list[tuple[int, list[int], list[str], list[str]]] = []
+        for x in sorted(found, key=lambda x: (-x[0], x[1])):
+            if all(x[1][-1] < y[1][0] or y[1][-1] < x[1][0] for y in chosen):
+                chosen.append(x)
+        return chosen
+
+    def licenses(self, text: str) -> list[dict]:
+        """All confirmed notices in a text, by place.
+
+        Notices may share words, as in a dual license. One that overlaps a better one counts only if most of the words
+        that tell its template from the other's are there besides.
+        """
+        tokens = [(m.start(), m.end(), m[0].lower()) for m in _ANY_WORD.finditer(text)]
+        begins = [t[0] for t in tokens]
+        regions: list[list[int]] = []
+        for cue in _CUE.finditer(text):
+            at = bisect_left(begins, cue.start())
+            lo, hi = max(0, at - self.furthest), at + self.furthest
+            if regions and lo <= regions[-1][1]:
+                regions[-1][1] = hi
+            else:
+                regions.append([lo, hi])
+        rows = []
+        for lo, hi in regions:
+            words = [t[2] for t in tokens[lo:hi]]
+            found = [(*x, name) for name in self.words for x in self.occurrences(words, name)]
+            chosen: list[tuple] = []
+            for x in sorted(found, key=lambda x: (-x[0], x[1], x[4])):
+                if all(self._stands_beside(words, x, y) for y in chosen):
+                    chosen.append(x)
+            for _, places, missing, extra, name in chosen:
+                start, end = tokens[lo + places[0]][0], tokens[lo + places[-1]][1]
+                saved = dict((n, k) for k, n in self.reductions(text[start:end]))[name]
+                if saved > 0:
+                    rows.append({"block_start": start, "block_end": end, "license": name, "saved_bytes": saved, "missing": missing, "extra": extra, "confirmed": True})
+        return sorted(rows, key=lambda r: (r["block_start"], r["block_end"], r["license"]))
+
+    def _stands_beside(self, words: list[str], one: tuple, other: tuple) -> bool:
+        if one[1][-1] < other[1][0] or other[1][-1] < one[1][0]:
+            return True
+        telling = set(self.words[one[4]]) - set(self.words[other[4]])
+        used = set(other[1])
+        return 2 * len({words[k] for k in one[1] if k not in used} & telling) > len(telling)
+
+
+def left_of(start: int, end: int, rows: list[dict]) -> Iterator[tuple[int, int]]:
+    """The parts of a block outside the confirmed notices."""
+    for row in rows:
+        if row["block_start"] < end and start < row["block_end"]:
+            if start < row["block_start"]:
+                yield start, row["block_start"]
+            start = row["block_end"]
+    if start < end:
+        yield start, end
+
 
 _SCHEMA = ("doc_id long, block_start long, block_end long, license string, saved_bytes long, missing array<string>, "
            "extra array<string>, confirmed boolean")
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per candidate block: doc_id, its span, the best license, bytes saved, differing words, and ``confirmed``.
+    """One row per confirmed notice, and per other candidate block: doc_id, its span, the best license, bytes saved,
+    differing words, and ``confirmed``.
 
     Blocks that no template shrinks have a null license. Texts without license words, null and empty texts give no rows.
     Repeated rows and null ids give their own rows. An empty table gives an empty result.
@@ -140,12 +233,16 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
             rows = []
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text")), strict=True):
                 text = raw.decode("utf-8", "replace")
-                for start, end in blocks_of(text):
+                confirmed = matcher.licenses(text)
+                rows += [{"doc_id": doc_id, **row} for row in confirmed]
+                for start, end in (x for block in blocks_of(text) for x in left_of(*block, confirmed)):
                     block = text[start:end]
+                    if not _CUE.search(block):
+                        continue
                     if block not in known:
                         if len(known) > 10_000:
                             known.clear()
-                        known[block] = matcher.judge(block)
+                        known[block] = {**matcher.judge(block), "confirmed": False}
                     rows.append({"doc_id": doc_id, "block_start": start, "block_end": end, **known[block]})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([

@@ -1,6 +1,7 @@
 """License scan: all lines with license words are found, and wordings decide."""
 
 import re
+import textwrap
 
 from eventlode.llm.licenses import TEMPLATES, Matcher, blocks_of, op3_license_scan, scan_licenses
 
@@ -40,3 +41,15 @@ def test_odd_rows(spark):
     assert len(found) == 4 and not found[0][3]
     assert scan_licenses(docs.where("false")).count() == 0
     assert list(blocks_of("a\nb\n")) == []
+
+
+def test_wrapped_templates(spark):
+    rows, want = [], []
+    for name, text in TEMPLATES.items():
+        for width, mark in ((72, ""), (80, ""), (72, " * "), (80, "# ")):
+            lines = "\n".join(mark + x for x in textwrap.wrap(text, width))
+            rows.append((len(rows), f"Some words before.\n\n{mark}Copyright (c) 2020 Someone\n{lines}\n\nSome words after it."))
+            want.append((len(rows) - 1, name, [], []))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.license, r.missing, r.extra) for r in scan_licenses(docs).collect() if r.confirmed)
+    assert found == want
