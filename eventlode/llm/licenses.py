@@ -167,7 +167,7 @@ class Matcher:
         """All confirmed notices in a text, by place.
 
         Notices may share words, as in a dual license. One that overlaps a better one counts only if most of the words
-        that tell its template from the other's are there besides.
+        that tell its template from the other's are there besides, or half of them and no other word between.
         """
         tokens = [(m.start(), m.end(), m[0].lower()) for m in _ANY_WORD.finditer(text)]
         begins = [t[0] for t in tokens]
@@ -199,7 +199,8 @@ class Matcher:
             return True
         telling = set(self.words[one[4]]) - set(self.words[other[4]])
         used = set(other[1])
-        return 2 * len({words[k] for k in one[1] if k not in used} & telling) > len(telling)
+        own = 2 * len({words[k] for k in one[1] if k not in used} & telling)
+        return own > len(telling) or (own == len(telling) > 0 and not one[3])
 
 
 def left_of(start: int, end: int, rows: list[dict]) -> Iterator[tuple[int, int]]:

@@ -53,3 +53,26 @@ def test_wrapped_templates(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = sorted((r.doc_id, r.license, r.missing, r.extra) for r in scan_licenses(docs).collect() if r.confirmed)
     assert found == want
+
+
+def test_several_notices(spark):
+    mit, apache, gpl = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", TEMPLATES["GPL-3.0"]
+    bsd = TEMPLATES["BSD-2-Clause"]
+    cases = [
+        (f"{mit}\n{apache}", ["MIT", "Apache-2.0"]),
+        (f"{mit} {apache}", ["MIT", "Apache-2.0"]),
+        (f"{mit} {apache} {'word ' * 400}", ["MIT", "Apache-2.0"]),
+        ("Licensed under the MIT License or the Apache License, Version 2.0, at your option.", ["Apache-2.0", "MIT"]),
+        (f"{gpl} {mit} {apache}\n{bsd} {mit}\n{mit}", ["GPL-3.0", "MIT", "Apache-2.0", "BSD-2-Clause", "MIT", "MIT"]),
+        ("\n".join(TEMPLATES.values()), list(TEMPLATES)),
+        (f"{mit}\nLicensed under terms of our own.", ["MIT"]),
+        (TEMPLATES["LGPL-3.0"], ["LGPL-3.0"]),
+        ("Released under the Apache License, Version 2.0.", ["Apache-2.0"]),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")
+    found = sorted(scan_licenses(docs).collect(), key=lambda r: (r.doc_id, r.block_start))
+    for k, (text, want) in enumerate(cases):
+        rows = [r for r in found if r.doc_id == k and r.confirmed]
+        assert sorted(r.license for r in rows) == sorted(want), text
+    # What is left of a block stays a candidate of its own.
+    assert [(r.confirmed, cases[6][0][r.block_start : r.block_end].strip()) for r in found if r.doc_id == 6][1:] == [(False, ".\nLicensed under terms of our own.")]
