@@ -7,11 +7,14 @@ from .chat import OP4_SQL, op4_chat_formatting
 from .jaccard import op9_jaccard_join
 from .leaks import op1_decontamination
 from .licenses import op3_license_scan
+from .packing import op11_sum_of_squares_packing
 from .pieces import op2_sentencepiece
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .quality import op8_quality_rules
 from .secrets import op5_secret_scan
 from .substrings import op6_substring_dedup
 from .warc import OP7_SQL, op7_warc_segments
+from .whitening import op13_feast_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination,
@@ -24,6 +27,10 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_rules,
     op9_jaccard_join,
     op10_brown_scores,
+    op11_sum_of_squares_packing,
+    op12_prefix_trie,
+    op13_feast_whitening,
 )}
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op7_warc_segments": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_formatting": OP4_SQL, "op7_warc_segments": OP7_SQL, "op12_prefix_trie": OP12_SQL}
