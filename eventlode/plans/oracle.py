@@ -417,6 +417,11 @@ from raw where {_GOOD}""",
     "late_data": f"""with {_LATE}
 select user_id, window_start, count(*) as event_count from windowed
 where window_start + interval 30 minute <= (select t from last_mark) group by 1, 2""",
+    "late_rows": f"""with {_LATE}
+select cast(event_no as varchar) as event_id, event_timestamp,
+  case when event_no % 20 = 3 then (select t from mark) end as watermark,
+  case when event_no % 20 = 3 and event_timestamp <= (select t from mark) then 'late_event' end as dlq_reason
+from ev""",
     "run_stream": f"""with {_RAW_WINDOWS}
 select 'bronze' as table_name, count(*) as rows from raw
 union all select 'dead_letters', count(*) from raw where {_STRICT_FAIL}

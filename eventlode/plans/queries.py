@@ -21,7 +21,7 @@ from eventlode.session import materialize, prepare, work_dir
 from eventlode.sources import events as given
 from eventlode.sources.streams import decode_feed
 from eventlode.sources.tables import ParquetStore, read_partition, write_partitioned
-from eventlode.streaming import jobs, live
+from eventlode.streaming import jobs, late, live
 from eventlode.streaming.run import start_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +258,23 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(spark.read.parquet(lake.table("windows")).select("user_id", "window_start", "event_count"))
 
 
+@query
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries split by the watermark: every event, whether it came too late, and the watermark it met."""
+    lake = lake_of(spark, "late-rows")
+    arrivals = _arrivals(spark, sf_dir).select("event_id", "user_id", "event_timestamp", "delivery")
+    layout = arrivals.drop("delivery").schema
+    for delivery in (1, 2):
+        arrivals.where(F.col("delivery") == delivery).drop("delivery").write.mode("append").parquet(
+            lake.table("landing")
+        )
+        stream = spark.readStream.schema(layout).parquet(lake.table("landing"))
+        jobs.finish([late.split_late(stream, lake.table("split"), lake.checkpoint("split"), "available_now")])
+    kept = late.punctual_rows(spark, lake.table("split"), layout).withColumn("dlq_reason", F.lit(None).cast("string"))
+    both = kept.unionByName(late.late_rows(spark, lake.table("split"), layout))
+    return tidy(both.select("event_id", "event_timestamp", "watermark", "dlq_reason"))
+
+
 @query
 def restart_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver query started twice over the same input: the second start adds nothing."""

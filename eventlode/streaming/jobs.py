@@ -14,6 +14,7 @@ from eventlode.schemas import (
     BRONZE, BRONZE_TRIGGER, DEAD_LETTER_TRIGGER, FEED_TRIGGER, SESSION_WINDOW, SILVER_TRIGGER, WATERMARK_DELAY,
 )
 from eventlode.sources.streams import bronze_stream
+from eventlode.streaming.late import punctual, split_late
 from eventlode.streaming.run import finish, start_parquet, supervise, with_trigger
 
 
@@ -96,15 +97,24 @@ def publish_feed(valid: DataFrame, lake: Lake, trigger: str = FEED_TRIGGER, sink
 def process_silver(spark: SparkSession, lake: Lake, trigger: str | None = None, strict: bool = True,
                    kind: str = "tumbling", delay: str = WATERMARK_DELAY, window: str = SESSION_WINDOW,
                    parts: int = 1, feed: bool = True, feed_sink: str = "parquet", feed_options: dict | None = None,
-                   state_partitions: int | None = None) -> list[StreamingQuery]:
-    """Three queries over bronze: dead letters, sessions, and the live feed."""
+                   state_partitions: int | None = None, keep_late: bool = False) -> list[StreamingQuery]:
+    """Queries over bronze: dead letters, sessions, and the live feed.
+
+    With ``keep_late`` a query of its own first splits off the rows that sessions would drop (see ``streaming.late``), and
+    sessions read the others.
+    """
     routed = validate.route(bronze_stream(spark, lake.table("bronze")), strict)
     valid = validate.accepted(routed)
-    queries = [
-        route_dead_letters(routed, lake, trigger or DEAD_LETTER_TRIGGER),
-        write_sessions(valid, lake, trigger or SILVER_TRIGGER, delay, window, kind, parts,
-                       state_partitions=state_partitions),
-    ]
+    queries = [route_dead_letters(routed, lake, trigger or DEAD_LETTER_TRIGGER)]
+    timely = valid
+    if keep_late:
+        path = lake.table("by_lateness")
+        queries.append(split_late(valid, path, lake.checkpoint("by_lateness"), trigger or SILVER_TRIGGER, delay))
+        if trigger == "available_now":
+            finish(queries[-1:])
+        timely = punctual(spark, path, valid.schema)
+    queries.append(write_sessions(timely, lake, trigger or SILVER_TRIGGER, delay, window, kind, parts,
+                                  state_partitions=state_partitions))
     if feed:
         queries.append(publish_feed(valid.drop("event_timestamp"), lake, trigger or FEED_TRIGGER, feed_sink,
                                     **(feed_options or {})))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlode.sources.tables import path_missing
+from eventlode.sources.batches import BatchFolders
 from eventlode.streaming.run import state_settings, with_trigger
 
 
@@ -46,24 +45,12 @@ def users_per_day_approx(events: DataFrame, error: float = 0.02) -> DataFrame:
     )
 
 
-def _latest_version(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    """Rows of the newest batch written under ``path``."""
-    stamped = T.StructType(list(layout.fields)).add("batch", "long")
-    try:
-        table = spark.read.schema(stamped).parquet(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return spark.createDataFrame([], layout)
-    newest = table.agg(F.max("batch")).first()[0]
-    return table.where(F.col("batch") == newest).drop("batch")
-
-
-def keep_totals(totals: DataFrame, path: str, checkpoint: str, trigger: str, name: str) -> StreamingQuery:
-    """Write the whole result of every batch under its batch number; a repeated batch replaces itself."""
+def keep_totals(totals: DataFrame, path: str, checkpoint: str, trigger: str, name: str, keep: int = 4) -> StreamingQuery:
+    """Write the whole result of every batch; the newest ``keep`` results stay."""
+    layout = totals.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        BatchFolders(batch.sparkSession, path, layout, keep).write(batch, batch_id)
 
     writer = (
         totals.writeStream.outputMode("complete").queryName(name).option("checkpointLocation", checkpoint)
@@ -74,26 +61,18 @@ def keep_totals(totals: DataFrame, path: str, checkpoint: str, trigger: str, nam
 
 
 def read_totals(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
-    return _latest_version(spark, path, layout)
+    """The newest result under ``path``; no rows before the first."""
+    return BatchFolders(spark, path, layout).read()
 
 
-def keep_recent(events: DataFrame, path: str, checkpoint: str, trigger: str, rows: int = 10) -> StreamingQuery:
+def keep_recent(events: DataFrame, path: str, checkpoint: str, trigger: str, rows: int = 10, keep: int = 4) -> StreamingQuery:
     """Keep the ``rows`` most recent events: each batch is merged with what the batch before kept."""
     layout = events.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stamped = T.StructType(list(layout.fields)).add("batch", "long")
-        try:
-            earlier = spark.read.schema(stamped).parquet(path).where(F.col("batch") < batch_id)
-            newest = earlier.agg(F.max("batch")).first()[0]
-            earlier = earlier.where(F.col("batch") == newest).drop("batch")
-            batch = batch.unionByName(earlier)
-        except AnalysisException as error:
-            if not path_missing(error):
-                raise
-        top = batch.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(rows)
-        top.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        store = BatchFolders(batch.sparkSession, path, layout, keep)
+        both = batch.unionByName(store.read(before=batch_id))
+        store.write(both.orderBy(F.desc("event_timestamp"), F.desc("event_id")).limit(rows), batch_id)
 
     writer = (
         events.writeStream.outputMode("append").queryName("recent").option("checkpointLocation", checkpoint)
