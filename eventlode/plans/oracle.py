@@ -444,6 +444,11 @@ select cast(activity_date as varchar) as date,
   total_events, avg_events_per_user
 from trend""",
     "live_dau": "select cast(ts as date) as day, count(distinct user_id) as live_users from events group by 1",
+    "live_dau_merged": """select cast(cast(ts as date) as varchar) as date, count(distinct user_id) as daily_active_users,
+  case when cast(ts as date) < date '2024-01-22' then count(distinct user_id) end as stored_users
+from events group by cast(ts as date)""",
+    "live_dau_sketch": """select cast(ts as date) as day, count(distinct user_id) as users, true as close
+from events group by 1""",
     "live_recent": f"""with {_EV}
 select event_id, user_id, event_type, event_timestamp from ev order by event_timestamp desc, event_id desc limit 10""",
     # batch operators

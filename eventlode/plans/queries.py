@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlode.functions.parse import classify_corruption, parse_events
-from eventlode.operators import coltests, dims, facts, joins, kpis, marts, quality, scd2, sessions, validate
+from eventlode.operators import active_users, coltests, dims, facts, joins, kpis, marts, quality, scd2, sessions, validate
 from eventlode.operators.dedup import keep_first, keep_first_streaming
 from eventlode.operators.keys import assign_keys
 from eventlode.operators.runlog import logged_run
@@ -336,6 +336,43 @@ def live_dau_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(kpis.with_live_users(kpis.dau_trend(mart, days=20), users))
 
 
+def _stored_and_live(spark: SparkSession, sf_dir: str, label: str) -> tuple[ParquetStore, DataFrame, jobs.Lake]:
+    """Users of the days before the 22nd, stored in two loads that overlap, and the stream from the 15th on."""
+    lake = lake_of(spark, label)
+    store = ParquetStore(spark, lake.table("store"))
+    every, at = events_of(spark, sf_dir), F.col("event_timestamp")
+    active_users.store_load(store, every.where(at < F.lit("2024-01-12").cast("timestamp")))
+    active_users.store_load(store, every.where(at.between(F.lit("2024-01-10"), F.lit("2024-01-21 23:59:59.999999"))))
+    live_events = given.stream_events(spark, sf_dir).where(at >= F.lit("2024-01-15").cast("timestamp"))
+    return store, live_events, lake
+
+
+@query
+def live_dau_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of the stored days with the live users in it: every user of a day once, stored, live or both."""
+    store, stream, lake = _stored_and_live(spark, sf_dir, "dau-merged")
+    jobs.finish([active_users.keep_live_keys(stream, lake.table("keys"), lake.checkpoint("keys"), "available_now")])
+    stored = active_users.stored_keys(store)
+    trend = active_users.count_keys(stored).select(
+        F.col("day").cast("string").alias("date"), F.col("users").alias("daily_active_users"),
+        F.col("users").alias("stored_users"))
+    users = active_users.count_keys(stored, spark.read.parquet(lake.table("keys")))
+    return tidy(active_users.patch_trend(trend, users))
+
+
+@query
+def live_dau_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days from merged sketches: the exact count, and whether the estimate is within four standard errors."""
+    store, stream, lake = _stored_and_live(spark, sf_dir, "dau-sketch")
+    jobs.finish([active_users.keep_live_sketches(stream, lake.table("sketches"), lake.checkpoint("sketches"), "available_now")])
+    seen = live.read_totals(spark, lake.table("sketches"), active_users.day_sketches(events_of(spark, sf_dir)).schema)
+    merged = active_users.merge_sketches(active_users.stored_sketches(store), seen)
+    exact = active_users.count_keys(active_users.day_keys(events_of(spark, sf_dir)))
+    close = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * (4 * 1.04 / 2 ** (active_users.SKETCH_BITS / 2)))
+    estimates = active_users.count_sketches(merged).withColumnRenamed("users", "estimate")
+    return tidy(exact.join(estimates, "day", "full").select("day", "users", close.alias("close")))
+
+
 @query
 def live_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = lake_of(spark, "live-recent")
