@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventlode.operators.dedup import keep_first
 from eventlode.operators.dims import lookup_device, lookup_product, lookup_time, lookup_user
 from eventlode.operators.keys import assign_keys, highest_key
+from eventlode.operators.observe import materialize_observed
 from eventlode.operators.validate import accepted, route
 from eventlode.schemas import CONSTANT_PURCHASE_AMOUNT, FACT_EVENTS, FACT_PURCHASES
 from eventlode.session import materialize
@@ -91,18 +94,45 @@ def absent_facts(offered: DataFrame, stored: DataFrame, buckets: int | None = No
     return first.join(stored.select("idempotency_key"), "idempotency_key", "left_anti")
 
 
-def load_facts(table: BucketedTable, facts: DataFrame, load_date: str) -> int:
-    """Append the facts that are new to the table and return how many there were.
+@dataclass(frozen=True)
+class Load:
+    """What a load did: rows added, and the stored loads whose keys it had to look at."""
+
+    added: int
+    joined: tuple[str, ...]
+
 
-    A second load of the same date finds all its keys stored and appends nothing.
+def load_new_facts(table: BucketedTable, facts: DataFrame, load_date: str) -> Load:
+    """Append the facts that are new to the table.
+
+    The filters of the stored loads tell which of them may hold a key of this one. Only their partitions are joined; a
+    load of new keys reads none. Loads without a filter are joined always. The filter and the key range of the new rows
+    are recorded before the rows, so a load lost in between costs a gap in the keys and nothing else. A second load of
+    the same rows finds all its keys stored and appends nothing.
     """
-    stored = table.read()
-    added = materialize(absent_facts(facts, stored, table.buckets), "new-facts")
-    count = added.count()
-    if count:
-        keyed = assign_keys(added, "idempotency_key", "event_key", highest_key(stored, "event_key"))
+    key = "idempotency_key"
+    offered = materialize(keep_first(facts), "offered-facts")
+    filters, ledger = table.filters, table.ledger
+    hits = filters.possible(offered).select("load").distinct().collect()
+    joined = sorted({r.load for r in hits} | (table.loads() - filters.loads()))
+    new = offered
+    if joined:
+        stored = table.read().where(F.col(table.partition).isin(joined))
+        new = absent_facts(offered, stored, table.buckets)
+    added, seen = materialize_observed(new, "new-facts", F.count("*").alias("rows"))
+    if seen["rows"]:
+        if ledger.highest() is None:
+            ledger.begin(highest_key(table.read(), "event_key"))
+        after = ledger.reserve(seen["rows"], load_date)
+        filters.add(added.select(key), seen["rows"], load_date)
+        keyed = assign_keys(added, key, "event_key", after)
         table.append(keyed.withColumn(table.partition, F.lit(load_date)))
-    return count
+    return Load(seen["rows"], tuple(joined))
+
+
+def load_facts(table: BucketedTable, facts: DataFrame, load_date: str) -> int:
+    """Append the facts that are new to the table and return how many there were."""
+    return load_new_facts(table, facts, load_date).added
 
 
 def build_purchases(events: DataFrame, dim_user: DataFrame, dim_time: DataFrame,

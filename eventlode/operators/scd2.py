@@ -7,9 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eventlode.operators.keys import assign_keys, highest_key
+from eventlode.operators.observe import materialize_observed
 from eventlode.operators.sessions import users_in
 from eventlode.schemas import DIM_USER, NEW_USER, UPGRADE_FROM_PLAN, UPGRADE_MIN_SESSIONS, UPGRADE_TO
 from eventlode.session import materialize
+from eventlode.sources.buckets import BucketedDimension
+from eventlode.sources.ledger import KeyLedger
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,32 @@ def apply_scd2(dim: DataFrame, sessions: DataFrame, as_of: str, rule: UpgradeRul
     return expire(marked, as_of).unionByName(keyed).select(*DIM_USER.names)
 
 
+def merge_scd2(dim: BucketedDimension, ledger: KeyLedger, sessions: DataFrame, as_of: str,
+               rule: UpgradeRule = UpgradeRule()) -> list[int]:
+    """Apply one load to a bucketed dimension and return the buckets that were rewritten.
+
+    Only buckets that hold a user of the load are read, and only those in which a user is new or moves are written.
+    The result is that of ``apply_scd2``: a user's versions share a bucket, so each bucket is decided by itself. Keys come
+    from the ledger, not from a scan. A load that changes nothing writes nothing.
+    """
+    users = materialize(users_in(sessions), "load-users")
+    touched = [r[0] for r in users.select(dim.bucket()).distinct().collect()]
+    opening = dim.read(touched)
+    marked = mark_upgrades(opening, users, rule)
+    added, seen = materialize_observed(
+        first_versions(new_users(opening, users), as_of).unionByName(next_versions(marked, as_of, rule)), "new-versions",
+        F.count("*").alias("rows"))
+    if not seen["rows"]:
+        return []
+    changed = [r[0] for r in added.select(dim.bucket()).distinct().collect()]
+    if ledger.highest() is None:
+        ledger.begin(highest_key(dim.read(), "user_key"))
+    keyed = assign_keys(added, "user_id", "user_key", ledger.reserve(seen["rows"], as_of))
+    kept = expire(marked, as_of).where(dim.bucket().isin(changed))
+    dim.replace(kept.unionByName(keyed.select(*kept.columns)), changed)
+    return sorted(changed)
+
+
 def history_from_changes(changes: DataFrame) -> DataFrame:
     """Versions from a change log (user_id, plan_type, changed_at): each lasts until the next begins."""
     by_user = Window.partitionBy("user_id").orderBy("changed_at")

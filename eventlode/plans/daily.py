@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventlode.operators import coltests, dims, facts, marts, quality
 from eventlode.operators.runlog import logged_run
-from eventlode.operators.scd2 import UpgradeRule, apply_scd2
+from eventlode.operators.scd2 import UpgradeRule, apply_scd2, merge_scd2
 from eventlode.operators.sessions import explode_sessions
 from eventlode.schemas import BRONZE, CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, SILVER_SESSION
+from eventlode.sources.buckets import BucketedDimension
+from eventlode.sources.ledger import KeyLedger
 from eventlode.sources.tables import BucketedTable, JdbcStore, ParquetStore, read_partition
 
 
@@ -20,16 +22,19 @@ class Warehouse:
     """The star schema of one deployment.
 
     Dimensions, marts and logs live in ``store``, versioned Parquet unless given; facts are always
-    the bucketed table.
+    the bucketed table. Without a database the user dimension moves into buckets with its first load.
     """
 
     spark: SparkSession
     root: str
     fact_buckets: int = 1024
     store: ParquetStore | JdbcStore | None = None
+    user_buckets: int = 256
 
     def __post_init__(self) -> None:
         self.store = self.store or ParquetStore(self.spark, f"{self.root}/tables")
+        self.users = BucketedDimension(self.spark, f"{self.root}/dim_user", DIM_USER, "user_id", self.user_buckets)
+        self.user_keys = KeyLedger(self.spark, f"{self.root}/dim_user_keys")
         self.facts = BucketedTable(self.spark, f"{self.root}/fact_events", FACT_EVENTS, "idempotency_key",
                                    "load_date", self.fact_buckets)
 
@@ -46,14 +51,20 @@ class Warehouse:
 
     @property
     def dim_user(self) -> DataFrame:
-        return self.store.read("dim_user", DIM_USER)
+        return self.users.read() if self.users.exists() else self.store.read("dim_user", DIM_USER)
 
     def mart(self, name: str) -> DataFrame:
         return self.store.read(f"mart_{name}")
 
 
 def update_users(warehouse: Warehouse, sessions: DataFrame, as_of: str, rule: UpgradeRule = UpgradeRule()) -> None:
-    warehouse.store.overwrite("dim_user", apply_scd2(warehouse.dim_user, sessions, as_of, rule))
+    """Apply one load to the user dimension; without a database only the buckets it changes are rewritten."""
+    if isinstance(warehouse.store, JdbcStore):
+        warehouse.store.overwrite("dim_user", apply_scd2(warehouse.dim_user, sessions, as_of, rule))
+        return
+    if not warehouse.users.exists():
+        warehouse.users.replace(warehouse.dim_user)
+    merge_scd2(warehouse.users, warehouse.user_keys, sessions, as_of, rule)
 
 
 def load_events(warehouse: Warehouse, events: DataFrame, load_date: str, constant_amount: bool = False) -> int:

@@ -504,6 +504,9 @@ select user_id, username, plan_type, user_tier, country, effective_start_date, i
 from new_versions""",
     "scd2_full": f"""with {_USERS}, {_FIRST_VERSIONS}, {_NEW_VERSIONS}, {_EXPIRED},
 added as (select * from first_versions union all by name select * from new_versions)
+select {_USER_COLUMNS} from expired union all select {_USER_COLUMNS} from {_keyed('added')}""",
+    "scd2_bucketed": f"""with {_USERS}, {_FIRST_VERSIONS}, {_NEW_VERSIONS}, {_EXPIRED},
+added as (select * from first_versions union all by name select * from new_versions)
 select {_USER_COLUMNS} from expired union all select {_USER_COLUMNS} from {_keyed('added')}""",
     "scd2_history": f"with {_HISTORY} select * from history",
     "view_current_users": f"with {_MART_FACTS} select user_key, user_id, plan_type, country from dim where is_current",
@@ -535,6 +538,15 @@ keyed as (
   select *, row_number() over (order by load_date, md5(idempotency_key), idempotency_key) as event_key from rows)
 select load_date, count(*) as rows, count(*) as keys, min(event_key) as low_key, max(event_key) as high_key,
   cast(sum(amount) as double) as amount, count(*) as inserted
+from keyed group by 1""",
+    "fact_key_filter": f"""with {_DED},
+rows as (select *, cast(substr(idempotency_key, 2) as bigint) % 4 as part from ded),
+dated as (
+  select *, case part when 0 then '2024-01-10' when 3 then '2024-01-12' else '2024-01-11' end as load_date from rows),
+keyed as (
+  select *, row_number() over (order by load_date, md5(idempotency_key), idempotency_key) as event_key from dated)
+select load_date, count(*) as rows, min(event_key) as low_key, max(event_key) as high_key, count(*) as keys,
+  cast(case load_date when '2024-01-12' then 2 else 0 end as bigint) as loads_joined
 from keyed group by 1""",
     "daily_rerun": f"""with {_DED}
 select idempotency_key, event_id, row_number() over (order by md5(idempotency_key), idempotency_key) as event_key,

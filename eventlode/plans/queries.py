@@ -19,6 +19,8 @@ from eventlode.plans import daily
 from eventlode.schemas import DEAD_LETTER_ALERT_RATE, DIM_USER, SILVER_SESSION
 from eventlode.session import materialize, prepare, work_dir
 from eventlode.sources import events as given
+from eventlode.sources.buckets import BucketedDimension
+from eventlode.sources.ledger import KeyLedger
 from eventlode.sources.streams import decode_feed
 from eventlode.sources.tables import ParquetStore, read_partition, write_partitioned
 from eventlode.streaming import jobs, late, live
@@ -534,6 +536,16 @@ def scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _user_columns(scd2.apply_scd2(opening, sessions_of(spark, sf_dir), AS_OF, RULE))
 
 
+@query
+def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load merged into a bucketed dimension, of which the changed buckets are rewritten."""
+    root = work_dir(prepare(spark), "scd2-bucketed")
+    dim = BucketedDimension(spark, f"{root}/dim_user", DIM_USER, "user_id", buckets=32)
+    dim.replace(given.user_dimension(spark, sf_dir))
+    scd2.merge_scd2(dim, KeyLedger(spark, f"{root}/keys"), sessions_of(spark, sf_dir), AS_OF, RULE)
+    return _user_columns(dim.read())
+
+
 @query
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(scd2.history_from_changes(given.plan_changes(prepare(spark), sf_dir)))
@@ -594,6 +606,24 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("inserted", F.when(F.col("load_date") == "2024-01-16", first).otherwise(second)))
 
 
+@query
+def fact_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads: some keys, other keys, and everything. Only the last has to look at stored keys."""
+    warehouse = _warehouse(spark, sf_dir, "fact-key-filter")
+    every = events_of(spark, sf_dir).withColumn("_part", F.substring("idempotency_key", 2, 20).cast("bigint") % 4)
+    done = {}
+    for day, rows in (("2024-01-10", every.where("_part = 0")), ("2024-01-11", every.where("_part in (1, 2)")),
+                      ("2024-01-12", every)):
+        rows = facts.build_facts(rows, warehouse.dim_user, warehouse.store.read("dim_device"),
+                                 warehouse.store.read("dim_time"))
+        done[day] = facts.load_new_facts(warehouse.facts, rows, day)
+    joined = F.create_map(*[F.lit(x) for day, load in done.items() for x in (day, len(load.joined))])
+    return tidy(warehouse.facts.read().groupBy("load_date").agg(
+        F.count("*").alias("rows"), F.min("event_key").alias("low_key"), F.max("event_key").alias("high_key"),
+        F.count_distinct("idempotency_key").alias("keys"),
+    ).withColumn("loads_joined", joined[F.col("load_date")]))
+
+
 @query
 def daily_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything loaded twice under one date: facts after the first load equal those after the second."""

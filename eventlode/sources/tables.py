@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlode.functions.inline import inline_rows
 from eventlode.session import materialize
+from eventlode.sources.batches import Folders
+from eventlode.sources.keyfilter import KeyFilters
+from eventlode.sources.ledger import KeyLedger
 
 
 def path_missing(error: AnalysisException) -> bool:
@@ -90,7 +93,7 @@ class ParquetStore:
 
 
 class BucketedTable:
-    """An append-only table bucketed by its unique key.
+    """An append-only table bucketed by its unique key, with filters and key ranges of its loads beside it.
 
     A load looks up its keys among all stored ones. Bucketing lets that join read the stored key
     column in place: only the day's rows are shuffled, never the history.
@@ -101,6 +104,8 @@ class BucketedTable:
         self.spark, self.path, self.key, self.partition, self.buckets = spark, path, key, partition, buckets
         self.layout = T.StructType(list(layout.fields)).add(partition, "string")
         self.name = "bucketed_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+        self.filters = KeyFilters(spark, f"{path}_filters", key)
+        self.ledger = KeyLedger(spark, f"{path}_keys")
         self._register()
 
     def _register(self) -> None:
@@ -122,6 +127,11 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def loads(self) -> set[str]:
+        """The partitions that are stored, from the listing."""
+        names = (name.partition("=") for name in Folders(self.spark, self.path).names())
+        return {value for label, _, value in names if label == self.partition}
+
     def append(self, df: DataFrame) -> None:
         """Append rows; one file per bucket because the rows arrive split the way buckets are."""
         ordered = df.select(*self.layout.names).repartition(self.buckets, self.key)
