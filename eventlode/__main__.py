@@ -65,8 +65,8 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def _quality(spark: SparkSession, args: argparse.Namespace) -> int:
-    table = quality.read_tolerant(spark, jobs.Lake(args.root).table("silver_tumbling"))
-    report = quality.run_quality(table, args.date)
+    path = jobs.Lake(args.root).table("silver_tumbling")
+    report = quality.run_quality(quality.read_tolerant(spark, path), args.date, path=path)
     row = report.first()
     print(json.dumps(row.asDict(recursive=True), default=str))
     if args.output_json:

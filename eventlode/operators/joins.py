@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def at_event_time(facts: DataFrame, versions: DataFrame, how: str = "inner") -> DataFrame:
@@ -22,10 +22,42 @@ def at_event_time(facts: DataFrame, versions: DataFrame, how: str = "inner") ->
     return facts.join(v, (F.col("user_id") == F.col("_user")) & in_force, how).drop("_user", "_from", "_until")
 
 
-def revenue_by_plan(facts: DataFrame, versions: DataFrame) -> DataFrame:
-    """Purchase revenue by the plan the user was on at the time."""
+def as_of_merged(facts: DataFrame, versions: DataFrame, slice_width: str = "hour") -> DataFrame:
+    """The same rows as ``at_event_time`` without comparing facts with versions.
+
+    Facts and version starts become one stream that is ordered by time inside pieces of one user and one ``slice_width``;
+    in a piece the last version seen is carried forward. A piece begins with the version that its user had at the end of
+    the pieces before, which is found over a row per piece and not per fact. Work grows with facts plus versions: a user
+    with very many of both is cut into pieces and never pairs them. Of versions that begin at one instant the highest
+    number counts, so versions must not overlap otherwise. Facts without a user or time have no version and are left out.
+    """
+    version = F.struct("effective_start_date", "version_number", "effective_end_date", "plan_type")
+    marks = versions.where(F.col("user_id").isNotNull() & F.col("effective_start_date").isNotNull()).select(
+        F.col("user_id").alias("_user"), F.col("effective_start_date").alias("_at"), version.alias("_version"))
+    piece = F.date_trunc(slice_width, "_at")
+    starts = marks.groupBy("_user", piece.alias("_piece")).agg(F.max("_version").alias("_last"))
+    named = facts.where(F.col("user_id").isNotNull() & F.col("event_timestamp").isNotNull()).withColumns(
+        {"_user": F.col("user_id"), "_at": F.col("event_timestamp")}).withColumn("_piece", piece)
+    pieces = named.select("_user", "_piece").distinct().join(starts, ["_user", "_piece"], "full")
+    earlier = Window.partitionBy("_user").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    opened = pieces.select("_user", "_piece", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    rows = named.select("_user", "_piece", "_at", F.struct(*facts.columns).alias("_fact"),
+                        F.lit(None).cast(marks.schema["_version"].dataType).alias("_version"))
+    both = rows.unionByName(marks.withColumn("_piece", piece).withColumn(
+        "_fact", F.lit(None).cast(rows.schema["_fact"].dataType)))
+    so_far = Window.partitionBy("_user", "_piece").orderBy("_at", F.col("_fact").isNotNull(), "_version").rowsBetween(
+        Window.unboundedPreceding, 0)
+    carried = both.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far)).where("_fact is not null")
+    found = carried.join(opened, ["_user", "_piece"]).withColumn("_v", F.coalesce("_seen", "_carried"))
+    in_force = F.col("_v").isNotNull() & (F.col("_v.effective_end_date").isNull() | (F.col("_at") < F.col("_v.effective_end_date")))
+    return found.where(in_force).select("_fact.*", "_v.plan_type", "_v.version_number")
+
+
+def revenue_by_plan(facts: DataFrame, versions: DataFrame, merged: bool = False) -> DataFrame:
+    """Purchase revenue by the plan the user was on at the time; ``merged`` where users have very many versions."""
     sales = facts.where(F.col("event_type") == "purchase").select("user_id", "event_timestamp", "total_amount")
-    return at_event_time(sales, versions).groupBy("plan_type").agg(
+    dated = as_of_merged(sales, versions) if merged else at_event_time(sales, versions)
+    return dated.groupBy("plan_type").agg(
         F.sum("total_amount").alias("revenue"), F.count("*").alias("purchases")
     )
 

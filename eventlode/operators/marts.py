@@ -66,6 +66,10 @@ def revenue_per_user(facts: DataFrame, dim_user: DataFrame, by_user: bool = Fals
             F.min("first_purchase_at").alias("first_purchase_at"),
             F.max("last_purchase_at").alias("last_purchase_at"),
         )
+    return _revenue_rows(per_key, dim_user)
+
+
+def _revenue_rows(per_key: DataFrame, dim_user: DataFrame) -> DataFrame:
     n = F.nullif(F.col("total_purchases"), F.lit(0))
     return _with_user(per_key, dim_user, ["user_id", "email", "plan_type", "subscription_status"]).select(
         "user_key", "user_id", "email", "plan_type", "subscription_status",
@@ -87,6 +91,11 @@ def activity_per_user(facts: DataFrame, dim_user: DataFrame, as_of: str, by_user
         per_day = _by_user_id(per_day, dim_user).groupBy("user_key", "day").agg(
             F.sum("events").alias("events"), F.max("last_at").alias("last_at")
         )
+    return _activity_rows(per_day, dim_user, as_of, lookback_days)
+
+
+def _activity_rows(per_day: DataFrame, dim_user: DataFrame, as_of: str, lookback_days: int) -> DataFrame:
+    """From a row per user key and day: events and last_at."""
     per_key = per_day.groupBy("user_key").agg(
         F.max("last_at").alias("last_activity_at"),
         F.sum("events").alias("total_events"),
@@ -110,3 +119,51 @@ def churn_risk(facts: DataFrame, dim_user: DataFrame, as_of: str, by_user: bool
                lookback_days: int = CHURN_LOOKBACK_DAYS) -> DataFrame:
     """Users without activity for at least ``lookback_days``."""
     return activity_per_user(facts, dim_user, as_of, by_user, lookback_days).where("is_at_churn_risk")
+
+
+# --- marts from partial aggregates ------------------------------------------------------------
+
+
+def partials(facts: DataFrame) -> DataFrame:
+    """One row per user key and day with everything the marts add up. Rows of several loads may be added together."""
+    sale = (F.col("event_type") == "purchase") & (F.col("purchase_amount") > 0)
+    of_sale = lambda column: F.when(sale, F.col(column))
+    return facts.groupBy("user_key", F.to_date("event_timestamp").alias("day")).agg(
+        F.count("*").alias("events"), F.max("event_timestamp").alias("last_at"),
+        F.count_if(sale).alias("purchases"), F.sum(of_sale("purchase_amount")).cast("decimal(38,2)").alias("revenue"),
+        F.sum(of_sale("purchase_quantity")).alias("items"),
+        F.min(of_sale("event_timestamp")).alias("first_sale_at"), F.max(of_sale("event_timestamp")).alias("last_sale_at"),
+    )
+
+
+def merge_partials(parts: DataFrame) -> DataFrame:
+    """The partial aggregates of several loads as those of one."""
+    return parts.groupBy("user_key", "day").agg(
+        F.sum("events").alias("events"), F.max("last_at").alias("last_at"), F.sum("purchases").alias("purchases"),
+        F.sum("revenue").cast("decimal(38,2)").alias("revenue"), F.sum("items").alias("items"),
+        F.min("first_sale_at").alias("first_sale_at"), F.max("last_sale_at").alias("last_sale_at"),
+    )
+
+
+def daily_active_users_of(parts: DataFrame) -> DataFrame:
+    per_user = parts.where("day is not null").groupBy("day", "user_key").agg(F.sum("events").alias("events"))
+    users, events = F.count("user_key"), F.sum("events")
+    return per_user.groupBy(F.col("day").alias("activity_date")).agg(
+        users.alias("daily_active_users"), events.alias("total_events"),
+        F.round(events.cast("decimal(18,0)") / F.nullif(users, F.lit(0)), 2).alias("avg_events_per_user"),
+    )
+
+
+def revenue_per_user_of(parts: DataFrame, dim_user: DataFrame) -> DataFrame:
+    per_key = parts.where("purchases > 0").groupBy("user_key").agg(
+        F.sum("purchases").alias("total_purchases"), F.sum("revenue").alias("total_revenue"),
+        F.sum("items").alias("total_items"), F.min("first_sale_at").alias("first_purchase_at"),
+        F.max("last_sale_at").alias("last_purchase_at"),
+    )
+    return _revenue_rows(per_key, dim_user)
+
+
+def churn_risk_of(parts: DataFrame, dim_user: DataFrame, as_of: str,
+                  lookback_days: int = CHURN_LOOKBACK_DAYS) -> DataFrame:
+    per_day = merge_partials(parts).select("user_key", "day", "events", "last_at")
+    return _activity_rows(per_day, dim_user, as_of, lookback_days).where("is_at_churn_risk")

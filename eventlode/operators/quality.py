@@ -28,17 +28,31 @@ def _check(name: str, status: Column, value: Column, threshold: float, details:
     ]
 
 
-def freshness(table: DataFrame, now: str | None = None, dates: list[str] | None = None,
-              max_hours: float = FRESHNESS_HOURS) -> DataFrame:
-    """Age of the newest file of each date. Dates that were asked for but have no file fail."""
-    files = (
-        table.select(F.col("date").cast("string").alias("date"), "_metadata.file_path",
-                     "_metadata.file_modification_time")
-        .groupBy("date", "file_path").agg(F.max("file_modification_time").alias("modified"))
-        .groupBy("date").agg(F.count("*").alias("file_count"), F.max("modified").alias("latest"))
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, modified, length and the partition columns of a Parquet table's files, from the listing alone.
+
+    Only committed files count where a stream writes the table. No file is opened.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    named = files.withColumnRenamed("modificationTime", "modified").drop("content")
+    return named.withColumn("date", F.col("date").cast("string")) if "date" in named.columns else named
+
+
+def scanned_files(table: DataFrame) -> DataFrame:
+    """The same two columns for a frame whose folder is not known; reads a row per event."""
+    return (
+        table.select(F.col("date").cast("string").alias("date"), F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_modification_time").alias("modified"))
+        .groupBy("date", "path").agg(F.max("modified").alias("modified"))
     )
+
+
+def freshness(files: DataFrame, now: str | None = None, dates: list[str] | None = None,
+              max_hours: float = FRESHNESS_HOURS) -> DataFrame:
+    """Age of the newest of ``files`` (date, modified) on each date. Dates that were asked for but have no file fail."""
+    files = files.groupBy("date").agg(F.count("*").alias("file_count"), F.max("modified").alias("latest"))
     if dates is not None:
-        files = _dates(table.sparkSession, dates).join(files, "date", "left")
+        files = _dates(files.sparkSession, dates).join(files, "date", "left")
     clock = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     hours = (F.unix_micros(clock) - F.unix_micros("latest")) / 3.6e9
     status = F.when(hours <= max_hours, "PASSED").otherwise("FAILED")
@@ -126,14 +140,19 @@ def report(*checks: DataFrame) -> DataFrame:
 
 
 def date_checks(table: DataFrame, date: str, now: str | None = None, threshold_pct: float = VOLUME_THRESHOLD_PCT,
-                lookback_days: int = VOLUME_LOOKBACK_DAYS, critical: list[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """The three checks of one date; only that date's folder and the look-back folders are read."""
+                lookback_days: int = VOLUME_LOOKBACK_DAYS, critical: list[str] = CRITICAL_COLUMNS,
+                path: str | None = None) -> DataFrame:
+    """The three checks of one date; only that date's folder and the look-back folders are read.
+
+    With the table's ``path`` the age of its files comes from the listing instead of a scan.
+    """
+    files = scanned_files(table) if path is None else list_files(table.sparkSession, path)
     day = table.where(F.col("date") == date)
     recent = table.where(
         F.col("date").between(F.date_sub(F.lit(date).cast("date"), lookback_days).cast("string"), F.lit(date))
     )
     return (
-        freshness(day, now, [date])
+        freshness(files.where(F.col("date") == date), now, [date])
         .unionByName(volume(daily_counts(recent), [date], threshold_pct, lookback_days))
         .unionByName(nulls(day, critical, [date]))
     )

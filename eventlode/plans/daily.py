@@ -5,14 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date as Date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlode.operators import coltests, dims, facts, marts, quality
 from eventlode.operators.runlog import logged_run
 from eventlode.operators.scd2 import UpgradeRule, apply_scd2, merge_scd2
 from eventlode.operators.sessions import explode_sessions
-from eventlode.schemas import BRONZE, CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, SILVER_SESSION
-from eventlode.sources.buckets import BucketedDimension
+from eventlode.schemas import BRONZE, CHURN_LOOKBACK_DAYS, DIM_USER, FACT_EVENTS, MART_PARTIALS, SILVER_SESSION
+from eventlode.sources.buckets import BucketedDimension, PartTable
 from eventlode.sources.ledger import KeyLedger
 from eventlode.sources.tables import BucketedTable, JdbcStore, ParquetStore, read_partition
 
@@ -34,6 +34,7 @@ class Warehouse:
     def __post_init__(self) -> None:
         self.store = self.store or ParquetStore(self.spark, f"{self.root}/tables")
         self.users = BucketedDimension(self.spark, f"{self.root}/dim_user", DIM_USER, "user_id", self.user_buckets)
+        self.partials = PartTable(self.spark, f"{self.root}/mart_partials", MART_PARTIALS)
         self.user_keys = KeyLedger(self.spark, f"{self.root}/dim_user_keys")
         self.facts = BucketedTable(self.spark, f"{self.root}/fact_events", FACT_EVENTS, "idempotency_key",
                                    "load_date", self.fact_buckets)
@@ -74,6 +75,34 @@ def load_events(warehouse: Warehouse, events: DataFrame, load_date: str, constan
     return facts.load_facts(warehouse.facts, rows, load_date)
 
 
+def refresh_partials(warehouse: Warehouse, load_date: str, grown: bool = True) -> list[str]:
+    """Bring the partial aggregates up to date and return the loads whose facts were read.
+
+    Those are the given load, if it has ``grown``, and any that has none yet. A load that was folded into others must not
+    grow any more; if it has, its facts can't be told apart from theirs and the error says so.
+    """
+    table = warehouse.partials
+    folded, known, stored = table.folded(), set(table.current()), warehouse.facts.loads()
+    if grown and load_date in folded:
+        raise ValueError(f"load {load_date} has new facts but its partial aggregates were folded")
+    wanted = sorted((stored - known) | ({load_date} & stored if grown else set()))
+    for load in wanted:
+        rows = warehouse.facts.read().where(F.col(warehouse.facts.partition) == load)
+        table.replace(load, marts.partials(rows))
+    return wanted
+
+
+def update_marts(warehouse: Warehouse, load_date: str, as_of: str, grown: bool = True,
+                 churn_lookback_days: int = CHURN_LOOKBACK_DAYS) -> list[str]:
+    """The marts after a load, from the partial aggregates of all loads; only the new load's facts are read."""
+    loads = refresh_partials(warehouse, load_date, grown)
+    parts, users = warehouse.partials.read(), warehouse.dim_user
+    warehouse.store.overwrite("mart_daily_active_users", marts.daily_active_users_of(parts))
+    warehouse.store.overwrite("mart_revenue_per_user", marts.revenue_per_user_of(parts, users))
+    warehouse.store.overwrite("mart_churn_risk", marts.churn_risk_of(parts, users, as_of, churn_lookback_days))
+    return loads
+
+
 def build_marts(warehouse: Warehouse, as_of: str, churn_lookback_days: int = CHURN_LOOKBACK_DAYS) -> None:
     """Rebuild the three marts in full from the fact table."""
     fact_rows, users = warehouse.facts.read(), warehouse.dim_user
@@ -120,8 +149,8 @@ def run_daily(warehouse: Warehouse, silver_path: str, date: str | None = None,
         return load_events(warehouse, facts.events_of_bronze(bronze), date)
 
     added = logged_run(warehouse.store, "daily_load", "batch", load)
-    build_marts(warehouse, date)
+    update_marts(warehouse, date, date, grown=added > 0)
     warehouse.store.append("column_tests", test_tables(warehouse))
-    checks = quality.date_checks(quality.read_tolerant(spark, silver_path), date)
+    checks = quality.date_checks(quality.read_tolerant(spark, silver_path), date, path=silver_path)
     warehouse.store.append("data_quality_checks", quality.log_rows(checks, "silver"))
     return added

@@ -391,6 +391,14 @@ select cast(event_id as varchar) as kafka_key, ts as kafka_timestamp, raw_value,
   case when not {_UNREADABLE} then kind_name end as event_type,
   case when not {_UNREADABLE} and kind not in (2, 3, 4, 5, 6) then cast(cast(ts as date) as varchar) end
     as partition_date
+from texts""",
+    "bronze_compacted": f"""with {_RAW_TEXT}
+select cast(event_id as varchar) as kafka_key, ts as kafka_timestamp, raw_value,
+  case when not {_UNREADABLE} then cast(event_id as varchar) end as event_id,
+  case when not {_UNREADABLE} and kind <> 1 then cast(user_id as varchar) end as user_id,
+  case when not {_UNREADABLE} then kind_name end as event_type,
+  case when not {_UNREADABLE} and kind not in (2, 3, 4, 5, 6) then cast(cast(ts as date) as varchar) end
+    as partition_date
 from texts""",
     "dlq_route": f"""with {_RAW}
 select cast(event_id as varchar) as kafka_key,
@@ -512,6 +520,11 @@ select {_USER_COLUMNS} from expired union all select {_USER_COLUMNS} from {_keye
     "view_current_users": f"with {_MART_FACTS} select user_key, user_id, plan_type, country from dim where is_current",
     "revenue_by_plan_pit": f"""with {_EV}, {_HISTORY}
 select plan_type, cast(sum(total_amount) as double) as revenue, count(*) as purchases
+from ev join history h on ev.user_id = h.user_id and event_timestamp >= effective_start_date
+  and (effective_end_date is null or event_timestamp < effective_end_date)
+where event_type = 'purchase' group by 1""",
+    "revenue_by_plan_merged": f"""with {_EV}, {_HISTORY}
+select plan_type, cast(sum(total_amount) as double) as revenue, count(*) as purchases
 from ev join history h on ev.user_id = h.user_id and event_timestamp >= effective_start_date
   and (effective_end_date is null or event_timestamp < effective_end_date)
 where event_type = 'purchase' group by 1""",
@@ -589,6 +602,9 @@ from facts f left join dim on f.user_key = dim.k left join {_DEVICES} on f.devic
     "mart_materialize": f"with {_DAU_ROWS} select * from dau",
     "mart_revenue": f"with {_REVENUE_ROWS} select * from revenue",
     "mart_churn": f"with {_CHURN_ROWS} select * from levels where is_at_churn_risk",
+    "mart_dau_incremental": f"with {_DAU_ROWS} select * from dau",
+    "mart_revenue_incremental": f"with {_REVENUE_ROWS} select * from revenue",
+    "mart_churn_incremental": f"with {_CHURN_ROWS} select * from levels where is_at_churn_risk",
     "churn_levels": f"""with {_CHURN_ROWS}
 select churn_risk_level, count(*) as users, cast(sum(total_events) as bigint) as events from levels group by 1""",
     "kpi_dau": f"""with {_DAU_ROWS}

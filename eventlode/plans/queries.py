@@ -16,10 +16,10 @@ from eventlode.operators.dedup import keep_first, keep_first_streaming
 from eventlode.operators.keys import assign_keys
 from eventlode.operators.runlog import logged_run
 from eventlode.plans import daily
-from eventlode.schemas import DEAD_LETTER_ALERT_RATE, DIM_USER, SILVER_SESSION
+from eventlode.schemas import DEAD_LETTER_ALERT_RATE, DIM_USER, MART_PARTIALS, SILVER_SESSION
 from eventlode.session import materialize, prepare, work_dir
 from eventlode.sources import events as given
-from eventlode.sources.buckets import BucketedDimension
+from eventlode.sources.buckets import BucketedDimension, PartTable
 from eventlode.sources.ledger import KeyLedger
 from eventlode.sources.streams import decode_feed
 from eventlode.sources.tables import ParquetStore, read_partition, write_partitioned
@@ -175,6 +175,17 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                               F.col("date").alias("partition_date")))
 
 
+@query
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze table after its many small files were packed: every row once, as before."""
+    lake = lake_of(spark, "bronze-compacted")
+    jobs.run_stream(spark, messages_of(spark, sf_dir), lake, "bronze", "available_now", files_per_partition=3)
+    table = jobs.compacted_bronze(spark, lake)
+    table.compact()
+    return tidy(table.read().select("kafka_key", "kafka_timestamp", "raw_value", "event_id", "user_id", "event_type",
+                                    F.col("date").alias("partition_date")))
+
+
 @query
 def dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = bronze_lake(spark, sf_dir, "dlq-route")
@@ -563,6 +574,13 @@ def revenue_by_plan_pit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(joins.revenue_by_plan(events_of(spark, sf_dir), versions))
 
 
+@query
+def revenue_by_plan_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The point-in-time join as one ordered stream of facts and versions."""
+    versions = scd2.history_from_changes(given.plan_changes(prepare(spark), sf_dir))
+    return tidy(joins.revenue_by_plan(events_of(spark, sf_dir), versions, merged=True))
+
+
 # --- facts ------------------------------------------------------------------------------------
 
 
@@ -706,6 +724,33 @@ def mart_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(store.read("daily_active_users"))
 
 
+def _partials(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Partial aggregates of ten loads, one of them loaded twice and the first five folded into one."""
+    table = PartTable(prepare(spark), work_dir(spark, label), MART_PARTIALS)
+    dealt = rows.withColumn("_load", F.pmod(F.xxhash64("event_id"), F.lit(10)))
+    for load in (*range(10), 3):
+        table.replace(f"load-{load}", marts.partials(dealt.where(F.col("_load") == load)))
+    table.fold([f"load-{n}" for n in range(5)], marts.merge_partials)
+    return table.read()
+
+
+@query
+def mart_dau_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(marts.daily_active_users_of(_partials(spark, mart_facts(spark, sf_dir), "dau-partials")))
+
+
+@query
+def mart_revenue_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _partials(spark, mart_facts(spark, sf_dir), "revenue-partials")
+    return tidy(marts.revenue_per_user_of(parts, mart_users(spark, sf_dir)))
+
+
+@query
+def mart_churn_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = _partials(spark, idle_facts(spark, sf_dir), "churn-partials")
+    return tidy(marts.churn_risk_of(parts, mart_users(spark, sf_dir), CHURN_AS_OF))
+
+
 @query
 def kpi_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = _stored_mart(spark, "daily_active_users", marts.daily_active_users(mart_facts(spark, sf_dir)))
@@ -746,16 +791,12 @@ def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- quality ----------------------------------------------------------------------------------
 
 
-def _silver(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    path = lake_of(spark, label).table("silver")
-    write_partitioned(sessions_of(spark, sf_dir), path, ("date",))
-    return quality.read_tolerant(spark, path)
-
-
 @query
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files written just now are fresh, on every date."""
-    return tidy(quality.freshness(_silver(spark, sf_dir, "dq-freshness")).select("date", "check_name", "status"))
+    """Files written just now are fresh, on every date, as their listing says."""
+    path = lake_of(spark, "dq-freshness").table("silver")
+    write_partitioned(sessions_of(spark, sf_dir), path, ("date",))
+    return tidy(quality.freshness(quality.list_files(spark, path)).select("date", "check_name", "status"))
 
 
 @query

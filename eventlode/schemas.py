@@ -182,3 +182,10 @@ QUALITY_LOG = _struct(
     ("status", "string"), ("check_value", T.DecimalType(38, 10)), ("threshold_value", T.DecimalType(38, 10)),
     ("details", "string"), ("checked_at", "timestamp"),
 )
+
+# Partial aggregates of the marts, a row per user key and day of a load.
+MART_PARTIALS = _struct(
+    ("user_key", "bigint"), ("day", T.DateType()), ("events", "bigint"), ("last_at", T.TimestampType()),
+    ("purchases", "bigint"), ("revenue", T.DecimalType(38, 2)), ("items", "bigint"),
+    ("first_sale_at", T.TimestampType()), ("last_sale_at", T.TimestampType()),
+)

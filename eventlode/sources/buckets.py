@@ -61,3 +61,53 @@ class BucketedDimension:
         if stray:
             raise ValueError(f"rows for buckets that are not replaced: {sorted(stray)}")
         inline_rows(self.spark, entries, self._MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
+
+
+class PartTable:
+    """A table in named parts, such as loads, of which one is replaced at a time.
+
+    As above, a part's new rows are written beside the old ones and then published by a manifest row. ``fold`` puts
+    one new part with the merged rows in place of many, by rows of one manifest file.
+    """
+
+    _MANIFEST = T.StructType().add("part", "string").add("path", "string").add("version", "long")
+
+    def __init__(self, spark: SparkSession, root: str, layout: T.StructType):
+        self.spark, self.root, self.layout = spark, root.rstrip("/"), layout
+
+    def current(self) -> dict[str, tuple[str, int]]:
+        """Path and version of every part; an empty path is a part that was folded into another."""
+        if not Folders(self.spark, f"{self.root}/_manifest").names():
+            return {}
+        newest = self.spark.read.schema(self._MANIFEST).parquet(f"{self.root}/_manifest").groupBy("part").agg(
+            F.max(F.struct("version", "path")).alias("entry"))
+        return {r.part: (r.entry.path, r.entry.version) for r in newest.collect()}
+
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        paths = [path for part, (path, _) in sorted(self.current().items()) if path and (parts is None or part in parts)]
+        if not paths:
+            return self.spark.createDataFrame([], self.layout)
+        return self.spark.read.schema(self.layout).parquet(*paths)
+
+    def _write(self, rows: DataFrame) -> tuple[str, int]:
+        version = max((v for _, v in self.current().values()), default=0) + 1
+        path = f"{self.root}/v{version:08d}-{uuid.uuid4().hex[:8]}"
+        rows.select(*self.layout.names).write.parquet(path)
+        return path, version
+
+    def _publish(self, entries: list[tuple[str, str, int]]) -> None:
+        inline_rows(self.spark, entries, self._MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
+
+    def replace(self, part: str, rows: DataFrame) -> None:
+        path, version = self._write(rows)
+        self._publish([(part, path, version)])
+
+    def folded(self) -> set[str]:
+        return {part for part, (path, _) in self.current().items() if not path}
+
+    def fold(self, parts: list[str], merge) -> str:
+        """Merge ``parts`` into one new part and return its name; ``merge`` takes their rows together."""
+        name = f"{min(parts)}..{max(parts)}"
+        path, version = self._write(merge(self.read(parts)))
+        self._publish([(name, path, version), *((part, "", version) for part in parts)])
+        return name

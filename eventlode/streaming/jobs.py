@@ -14,6 +14,7 @@ from eventlode.schemas import (
     BRONZE, BRONZE_TRIGGER, DEAD_LETTER_TRIGGER, FEED_TRIGGER, SESSION_WINDOW, SILVER_TRIGGER, WATERMARK_DELAY,
 )
 from eventlode.sources.streams import bronze_stream
+from eventlode.streaming.compact import TARGET_BYTES, CompactedTable
 from eventlode.streaming.late import punctual, split_late
 from eventlode.streaming.run import finish, start_parquet, supervise, with_trigger
 
@@ -51,6 +52,10 @@ def ingest_bronze(messages: DataFrame, lake: Lake, trigger: str = BRONZE_TRIGGER
                          ("date", "event_type"))
 
 
+def compacted_bronze(spark: SparkSession, lake: Lake, target_bytes: int = TARGET_BYTES) -> CompactedTable:
+    return CompactedTable(spark, lake.table("bronze"), lake.table("bronze_packed"), BRONZE, ("date", "event_type"), target_bytes)
+
+
 def route_dead_letters(routed: DataFrame, lake: Lake, trigger: str = DEAD_LETTER_TRIGGER) -> StreamingQuery:
     return start_parquet(validate.dead_letters(routed), lake.table("dead_letters"), lake.checkpoint("dead_letters"),
                          trigger, "dead_letters")
