@@ -38,6 +38,9 @@ SLICE = 1 << 14
 STEPS = 16
 # A prefix may be lengthened by so many shingles at most; requirements run from 1 to this.
 MOST_MATCHES = 4
+# Words of a set's parity bitmap, 64 bits each.
+PARITY_WORDS = 8
+_PARITY = [f"w{k}" for k in range(PARITY_WORDS)]
 # Cost of checking one candidate against the cost of reading one posting.
 CHECK_COST = 4.0
 
@@ -136,11 +139,20 @@ def prefix_choice(tokens: np.ndarray, percent: int) -> tuple[int, int]:
     return best, first + best - 1
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Each bit tells whether an odd number of shingles fall on it.
+
+    A shingle that both sets hold cancels out, so two bitmaps differ in no more bits than the sets differ in shingles.
+    """
+    odd = np.bincount((found & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _prefixes(docs: DataFrame, logs, size: int, percent: int, bits: int) -> DataFrame:
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in items:
-            keep, sizes, asked, prefixes = [], [], [], []
+            keep, sizes, asked, prefixes, bits_of = [], [], [], [], []
             for raw in byte_texts(batch.column("text")):
                 found = shingles(raw, size, hashes)
                 keep.append(len(found) > 0)
@@ -151,14 +163,16 @@ def _prefixes(docs: DataFrame, logs, size: int, percent: int, bits: int) -> Data
                 sizes.append(len(tokens))
                 asked.append(matches)
                 prefixes.append(tokens[:length])
+                bits_of.append(parity(found))
             if sizes:
                 yield batches({
                     "doc_id": batch.column("doc_id").filter(pa.array(keep)), "n": pa.array(sizes, pa.int64()),
                     "asked": pa.array(asked, pa.int32()),
                     "prefix": list_array(signed(np.concatenate(prefixes)), np.array([len(x) for x in prefixes]), pa.int64()),
+                    **{w: pa.array(column) for w, column in zip(_PARITY, np.array(bits_of).T.copy(), strict=True)},
                 })
 
-    return map_arrow(docs, run, "doc_id long, n long, asked int, prefix array<long>")
+    return map_arrow(docs, run, "doc_id long, n long, asked int, prefix array<long>, " + ", ".join(f"{w} long" for w in _PARITY))
 
 
 def _possible(x: str, y: str, percent: int) -> str:
@@ -262,13 +276,22 @@ def _outside(postings: DataFrame) -> DataFrame:
     return postings.join(leaders, "token").where("component <> leader.component").drop("leader")
 
 
-def _rest_pairs(postings: DataFrame, percent: int) -> DataFrame:
+def _near(percent: int) -> str:
+    """Whether two parity bitmaps allow a link: linked sets of n and m shingles differ in at most
+    (n + m) (100 - percent) / (100 + percent) of them."""
+    apart = " + ".join(f"bit_count(x_{w} ^ y_{w})" for w in _PARITY)
+    return f"({apart}) * {100 + percent} <= {100 - percent} * (x_n + y_n)"
+
+
+def _rest_pairs(postings: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """All pairs of a list in different components: the rows outside the leader's component against the list."""
+    marked = postings.join(prefixes.select("doc_id", *_PARITY), "doc_id")
+
     def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("token", *[F.col(c).alias(name + c) for c in ("doc_id", "n", "component", "place", "before")])
+        return rows.select("token", *[F.col(c).alias(name + c) for c in ("doc_id", "n", "component", "place", "before", *_PARITY)])
 
-    met = side(_outside(postings), "x_").join(side(postings, "y_"), "token").where("x_component <> y_component")
-    met = met.where(_possible("x_", "y_", percent))
+    met = side(_outside(marked), "x_").join(side(marked, "y_"), "token").where("x_component <> y_component")
+    met = met.where(_possible("x_", "y_", percent)).where(_near(percent))
     return met.select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
 
 
@@ -306,7 +329,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, sketch
         elif step == "leaders of the rest":
             pairs = _star_pairs(_outside(postings), percent)
         else:
-            pairs = _rest_pairs(postings, percent)
+            pairs = _rest_pairs(postings, prefixes, percent)
         pairs = materialize(_provable(pairs, prefixes, percent), "jaccard-pairs")
         if pairs.isEmpty():
             continue

@@ -3,10 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from eventlode.llm.components import components
-from eventlode.llm.jaccard import jaccard_components, keep_one_of_each, op9_jaccard_join
+from eventlode.llm.jaccard import jaccard_components, keep_one_of_each, op9_jaccard_join, parity
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -87,3 +88,13 @@ def test_components_of_a_chain_and_a_star(spark):
     star = [(100, 100 + i) for i in range(1, 40)] + [(101, 101), (None, 5)]
     found = {r.node: r.component for r in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
     assert found == {i: 10 for i in range(10, 61)} | {i: 100 for i in range(100, 140)}
+
+
+def test_parity_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(4)
+    for n, same in ((0, 0), (5, 5), (60, 40), (500, 450), (5_000, 100)):
+        both, own, other = (np.unique(rng.integers(0, 2**63, k).astype(np.uint64)) for k in (same, n - same, n - same))
+        x, y = np.unique(np.r_[both, own]), np.unique(np.r_[both, other])
+        apart = sum(int(v).bit_count() for v in (parity(x) ^ parity(y)).view(np.uint64))
+        assert apart <= len(np.setxor1d(x, y)) and (n != 60 or apart > 20)
+    assert (parity(np.zeros(0, np.uint64)) == 0).all()
