@@ -105,7 +105,7 @@ def _class_sums(docs: DataFrame, ids: dict[bytes, int], classes: np.ndarray, n_c
             here = np.flatnonzero(words[1:] < clustered) + 1
             before += np.bincount(words[here] * n_classes + kinds[here - 1], minlength=len(before))
             after += np.bincount(words[here] * n_classes + kinds[here + 1], minlength=len(after))
-        both = np.concatenate([before.reshape(slices, -1), after.reshape(slices, -1)], axis=1)
+        both = np.concatenate([x.reshape(slices, SLICE_WORDS * n_classes) for x in (before, after)], axis=1)
         found = [k for k in range(slices) if both[k].any()]
         parts = [zlib.compress(both[k].tobytes(), 1) for k in found] + [zlib.compress(pairs.tobytes(), 1)]
         yield batches({"slice": pa.array([*found, slices], pa.int32()), "part": pa.array(parts, pa.binary())})
@@ -240,7 +240,11 @@ def with_folds(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
 
 
 def score_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """Train on the rows that aren't held out and score all rows. An empty table gives an empty result."""
+    """Train on the rows that aren't held out and score all rows. An empty table gives an empty result.
+
+    Without a training word, or without a training row, all counts are zero: transitions are uniform, and every word is one
+    that was never seen.
+    """
     docs = with_folds(ids_and_texts(docs, id_col, text_col))
     model, counts = train(docs.where("not held_out").select("text"), **parameters)
     return score(docs, model, counts)

@@ -63,3 +63,14 @@ def test_exchange_separates_contexts():
     pairs = np.array([[0, 0, 15], [0, 0, 3], [3, 15, 0.0]])
     found = exchange(np.array([before, after]), pairs, np.array([0, 0, 1, 0]), np.arange(4), 2)
     assert found.tolist() == [0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("texts", [
+    {i: "" for i in range(5)}, {i: None for i in range(3)}, {i: "only held out" for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2},
+    {1: None, **{i: "a b" for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2}}])
+def test_no_training_word(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = score_held_out(docs).collect()
+    assert len(rows) == len(texts) and all(math.isfinite(r.score) and r.score <= 0 and math.isfinite(r.base_score) for r in rows)
+    trained = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)
+    assert {(r.train_tokens, r.n_known > 0) for r in rows} == {(trained, trained > 0)}
