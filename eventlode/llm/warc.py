@@ -32,6 +32,8 @@ BATCH_BYTES = 8 << 20
 LEAST_REVISIT = 100
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
+# Fixed value: the profile of revisits whose payload is known by its digest.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REVISIT_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -59,19 +61,23 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, payload) with payload_digest, payload_bytes and ``first``.
+    """pages (page_id, url, payload) with row, payload_digest, payload_bytes, ``first`` and ``first_row``.
 
-    ``first`` is the smallest page_id with the same payload, or null if the payload is small or occurs once. It is
-    aggregated per digest before it is joined back, so a payload shared by very many pages is one row.
+    ``first`` is the smallest page_id with the same payload, or null if the payload is small or occurs once; ``first_row``
+    tells which of its rows. They are aggregated per digest before they are joined back, so a payload shared by very many
+    pages is one row. Rows are numbered by where they are stored, so ``pages`` must come from a scan.
     """
-    keyed = pages.withColumns({"payload_digest": F.sha2("payload", 256), "payload_bytes": F.octet_length("payload").cast("long")})
+    keyed = pages.withColumns({"row": F.monotonically_increasing_id(), "payload_digest": F.sha2("payload", 256),
+                               "payload_bytes": F.octet_length("payload").cast("long")})
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row")))
     firsts = (keyed.where(F.col("payload_bytes") >= LEAST_REVISIT).groupBy("payload_digest")
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+              .agg(least.alias("least"), F.count("*").alias("n")).where("n > 1")
+              .select("payload_digest", F.col("least.page_id").alias("first"), F.col("least.row").alias("first_row")))
     return keyed.join(firsts, "payload_digest", "left")
 
 
 def page_records(page_id: int | None, row: int, url: str | None, payload: bytes, digest: str, first: int | None,
-                 date: str) -> Iterator[bytes]:
+                 first_row: int | None, date: str) -> Iterator[bytes]:
     """The records of one page: a revisit, or a response and its continuations."""
     revisit = first is not None and page_id != first
     # The number after # tells repeated rows of a page apart.
@@ -80,7 +86,8 @@ def page_records(page_id: int | None, row: int, url: str | None, payload: bytes,
     parts = list(_cuts(block, SEGMENT))
     for k, part in enumerate(parts, 1):
         own = [("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha256:{digest}"),
-               ("WARC-Refers-To", f"<urn:page:{first}>" if revisit else None)]
+               ("WARC-Refers-To", f"<urn:page:{first}#{first_row}>" if revisit else None),
+               ("WARC-Profile", REVISIT_PROFILE if revisit else None)]
         yield record([
             ("WARC-Type", "continuation" if k > 1 else "revisit" if revisit else "response"),
             ("WARC-Record-ID", f"<{urn}>" if k == 1 else f"<{urn}.{k}>"), ("WARC-Date", date), ("WARC-Target-URI", url),
@@ -97,10 +104,10 @@ def warc_records(pages: DataFrame) -> DataFrame:
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in items:
             payloads = byte_texts(batch.column("payload"))
-            others = [batch.column(c).to_pylist() for c in ("page_id", "row", "url", "payload_digest", "first")]
+            others = [batch.column(c).to_pylist() for c in ("page_id", "row", "url", "payload_digest", "first", "first_row")]
             lines, size = [], 0
-            for page_id, row, url, digest, first, payload in zip(*others, payloads, strict=True):
-                lines += page_records(page_id, row, url, payload, digest, first, date)
+            for page_id, row, url, digest, first, first_row, payload in zip(*others, payloads, strict=True):
+                lines += page_records(page_id, row, url, payload, digest, first, first_row, date)
                 size += len(payload)
                 if size > BATCH_BYTES:
                     yield batches({"value": pa.array(lines, pa.binary()).cast(pa.string())})
@@ -108,7 +115,7 @@ def warc_records(pages: DataFrame) -> DataFrame:
             if lines:
                 yield batches({"value": pa.array(lines, pa.binary()).cast(pa.string())})
 
-    return map_arrow(pages.withColumn("row", F.monotonically_increasing_id()), run, "value string")
+    return map_arrow(pages, run, "value string")
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:

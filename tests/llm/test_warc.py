@@ -29,6 +29,12 @@ def test_round_trip(spark, tmp_path):
     assert sorted((r.page_id or 0, r.refers_to) for r in found if r.record_type == "revisit") == [(0, 6), (7, 6), (8, 1)]
     kinds = [h["warc-type"] for f in (tmp_path / "w").glob("*.gz") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
     assert kinds.count("continuation") >= 5
+    heads = [h for f in (tmp_path / "w").glob("*.gz") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
+    names = [h["warc-record-id"] for h in heads]
+    stored = {h["warc-record-id"]: h["warc-payload-digest"] for h in heads if h["warc-type"] == "response"}
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert len(set(names)) == len(names) and len(revisits) == 3
+    assert all(stored[h["warc-refers-to"]] == h["warc-payload-digest"] and h["warc-profile"].endswith("identical-payload-digest") for h in revisits)
 
 
 def test_empty_table(spark, tmp_path):
