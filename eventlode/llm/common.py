@@ -6,6 +6,7 @@ bytes and ``bytes.lower()`` changes only A-Z, so texts are handled as UTF-8 byte
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,6 +93,14 @@ BATCH_ROWS = 1_000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system. Workers are used again by later stages, and would hold it meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` that skips empty batches and keeps batches small, in this session from now on."""
     conf = df.sparkSession.conf
@@ -99,7 +108,8 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
         conf.set(_BATCH_CONF, str(BATCH_ROWS))
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fn(x for x in items if x.num_rows)
+        yield from fn(x for x in items if x.num_rows)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
