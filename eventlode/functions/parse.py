@@ -9,6 +9,8 @@ from eventlode.schemas import ENVELOPE_FIELDS, EVENT_JSON
 # An event time before this instant, or more than a day after it was received, is not believable.
 # Without the band a number such as 12345 reads as the year 12345 and drags the watermark with it.
 EARLIEST_EVENT = "2000-01-01"
+# A time without a date would be read as today's, and differ with the day of the run.
+_BARE_TIME = r"^\s*T?\d{1,2}:"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -28,12 +30,13 @@ def parse_events(decoded: DataFrame) -> DataFrame:
 
 def event_time(text: Column | str, received: Column | None = None) -> Column:
     """Timestamp of an ISO-8601 text, NULL when it is unreadable or outside the believable band."""
-    instant = F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
+    text = F.col(text) if isinstance(text, str) else text
+    instant = F.try_to_timestamp(text)
     received = F.current_timestamp() if received is None else received
     believable = (instant >= F.lit(EARLIEST_EVENT).cast("timestamp")) & (
         instant <= received + F.expr("interval 1 day")
     )
-    return F.when(believable, instant)
+    return F.when(believable & ~text.rlike(_BARE_TIME), instant)
 
 
 def add_ingestion_columns(parsed: DataFrame) -> DataFrame:

@@ -105,16 +105,16 @@ _ISO = "replace(cast(ts as varchar), ' ', 'T') || '+00:00'"
 
 _RAW_TEXT = _RAW + f""",
 texts as (
-  select *, case when kind = 7 then '{{"broken": "json",' when kind = 8 then 'not json at all'
-    when kind = 9 then '[]' when kind = 10 then ''
+  select *, case when kind = 7 then '{{"event_id":"7","user_' when kind = 8 then 'event_id=8;user_id=3'
+    when kind = 9 then '[1,2]' when kind = 10 then 'null'
     else '{{"event_id":"' || event_id || '"'
       || case when kind = 1 then '' else ',"user_id":"' || user_id || '"' end
-      || ',"timestamp":' || case kind when 2 then '"not-a-timestamp"' when 3 then '"2024-13-45T99:99:99Z"'
-           when 4 then '""' when 5 then 'null' when 6 then '12345' else '"' || {_ISO} || '"' end
+      || ',"timestamp":' || case kind when 2 then '"yesterday noon"' when 3 then '"2024-02-30T10:00:00Z"'
+           when 4 then '" "' when 5 then 'null' when 6 then '86400' else '"' || {_ISO} || '"' end
       || ',"event_type":"' || kind_name || '","schema_version":"v1","idempotency_key":"k' || event_id || '"'
-      || case when kind = 11 then ',"__unexpected_field__":"should_not_be_here","random_number":7' else '' end
-      || ',"payload":' || case kind when 12 then 'null' when 13 then '"string_instead_of_object"' when 14 then '[]'
-           when 15 then '{{"completely":"wrong","structure":true}}'
+      || case when kind = 11 then ',"client_build":"2211","debug":true' else '' end
+      || ',"payload":' || case kind when 12 then 'null' when 13 then '"amount=9.90"' when 14 then '["P1",2]'
+           when 15 then '{{"note":"nothing the registry asks for"}}'
            else '{{"email":"a@b.c","username":"u","signup_source":"organic","page_url":"https://x","session_id":"s",'
              || '"transaction_id":"T' || event_id || '","product_id":"P","total_amount":"'
              || cast(cast(value as decimal(12,2)) as varchar)
@@ -353,8 +353,8 @@ ORACLE_SQL: dict[str, str] = {
 select event_id as source_id,
   case when not {_UNREADABLE} then cast(event_id as varchar) end as event_id,
   case when not {_UNREADABLE} and kind <> 1 then cast(user_id as varchar) end as user_id,
-  case when {_UNREADABLE} or kind = 5 then null when kind = 2 then 'not-a-timestamp'
-    when kind = 3 then '2024-13-45T99:99:99Z' when kind = 4 then '' when kind = 6 then '12345'
+  case when {_UNREADABLE} or kind = 5 then null when kind = 2 then 'yesterday noon'
+    when kind = 3 then '2024-02-30T10:00:00Z' when kind = 4 then ' ' when kind = 6 then '86400'
     else {_ISO} end as event_time_text,
   case when not {_UNREADABLE} then kind_name end as event_type,
   case when not {_UNREADABLE} then 'v1' end as schema_version,

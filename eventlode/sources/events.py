@@ -99,13 +99,13 @@ def raw_json(events: DataFrame) -> DataFrame:
         F.lit('","currency":"USD","failure_reason":"card_declined","error_code":"ERR_002"}'),
     )
     timestamp_json = (
-        F.when(kind == 2, '"not-a-timestamp"').when(kind == 3, '"2024-13-45T99:99:99Z"').when(kind == 4, '""')
-        .when(kind == 5, "null").when(kind == 6, "12345")
+        F.when(kind == 2, '"yesterday noon"').when(kind == 3, '"2024-02-30T10:00:00Z"').when(kind == 4, '" "')
+        .when(kind == 5, "null").when(kind == 6, "86400")
         .otherwise(F.concat(F.lit('"'), iso, F.lit('"')))
     )
     payload_json = (
-        F.when(kind == 12, "null").when(kind == 13, '"string_instead_of_object"').when(kind == 14, "[]")
-        .when(kind == 15, '{"completely":"wrong","structure":true}').otherwise(good_payload)
+        F.when(kind == 12, "null").when(kind == 13, '"amount=9.90"').when(kind == 14, '["P1",2]')
+        .when(kind == 15, '{"note":"nothing the registry asks for"}').otherwise(good_payload)
     )
     document = F.concat(
         F.lit('{"event_id":"'), event_id.cast("string"), F.lit('"'),
@@ -113,14 +113,14 @@ def raw_json(events: DataFrame) -> DataFrame:
         F.lit(',"timestamp":'), timestamp_json,
         F.lit(',"event_type":"'), _type_name(),
         F.lit('","schema_version":"v1","idempotency_key":"k'), event_id.cast("string"), F.lit('"'),
-        F.when(kind == 11, ',"__unexpected_field__":"should_not_be_here","random_number":7').otherwise(""),
+        F.when(kind == 11, ',"client_build":"2211","debug":true').otherwise(""),
         F.lit(',"payload":'), payload_json, F.lit("}"),
     )
     return events.select(
         "event_id",
         "ts",
-        F.when(kind == 7, '{"broken": "json",').when(kind == 8, "not json at all").when(kind == 9, "[]")
-        .when(kind == 10, "").otherwise(document).alias("raw_value"),
+        F.when(kind == 7, '{"event_id":"7","user_').when(kind == 8, "event_id=8;user_id=3").when(kind == 9, "[1,2]")
+        .when(kind == 10, "null").otherwise(document).alias("raw_value"),
     )
 
 
