@@ -1,18 +1,18 @@
 """Language-model scores from Brown class n-grams.
 
 Words belong to classes; a text's probability is that of its class transitions times that of each word given its class.
-The most frequent words are assigned to classes by exchange: every word is offered every class and takes the one that
-makes its neighbours' classes and itself most likely, half of the words in each round. All other words share one class,
-in which they differ by their counts; the end of a text has its own.
+Every word that occurs often enough is assigned to a class by exchange: it is offered every class and takes the one that
+makes its neighbours' classes and itself most likely, half of the words in each round, until rounds stop helping. All
+other words share one class, in which they differ by their counts; the end of a text has its own.
 
 Word counts cover the whole training corpus. The most frequent ones, a bounded table, are looked up inside tasks; the
-counts of all others reach their texts by a join. Class statistics are summed over all training texts in every round.
+counts of all others reach their texts by a join. Pairs of neighbouring words are counted once, into a table; each round
+sums that table by word and class of the neighbour. The driver sees word classes and class pairs only.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,16 +26,15 @@ from eventlode.session import materialize
 
 from .common import batches, byte_texts, ids_and_texts, list_array, map_arrow, table
 
-# Parameters of the model: words whose counts every task holds, words that get a class by exchange, classes, rounds.
+# Parameters of the model: words whose counts every task holds, the occurrences from which on these get a class by exchange,
+# and the share by which two rounds must raise the classes' mutual information for more rounds to follow.
 HEAD_WORDS = 200_000
-CLUSTERED_WORDS = 8_192
-CLASSES = 32
-ROUNDS = 2
+LEAST_COUNT = 5
+LEAST_GAIN = 0.02
 # The end of a text, as a word; no word contains a space.
 END = b" "
-SLICE_WORDS = 512
-# Distinct words a task counts before it hands its counts on.
-TASK_WORDS = 300_000
+# Distinct words a task counts, and neighbouring words it gathers, before it hands its counts on; rows in a batch of these.
+TASK_WORDS, TASK_PAIRS, PAIR_ROWS = 300_000, 2_000_000, 100_000
 
 
 def _words(raw: bytes) -> list[bytes]:
@@ -77,60 +76,112 @@ class Model:
     end: int  # the class of the end of a text
 
 
-def _class_sums(docs: DataFrame, ids: dict[bytes, int], classes: np.ndarray, n_classes: int, clustered: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of (word, class before), (word, class after) and of class pairs, over all texts.
+def class_number(words: int) -> int:
+    """How many classes a vocabulary gets: half the root of its size, at least two."""
+    return max(2, math.isqrt(words) // 2)
 
-    Words beyond ``clustered`` count as their class. Each task sums dense tables of the model's size and hands them on
-    in compressed slices, which are summed again by slice.
+
+def pair_counts(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """(a, b, n): how often word ``b`` follows word ``a``, over all texts; all words beyond ``ids`` are one, the end another.
+
+    Every text stands between two ends. Pairs are counted within tasks before they are shuffled.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((ids, classes))
-    rest, end = n_classes - 2, n_classes - 1
-    slices = -(-clustered // SLICE_WORDS)
-
-    def count(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = shared.value
-        before = np.zeros(slices * SLICE_WORDS * n_classes, np.int64)
-        after = np.zeros_like(before)
-        pairs = np.zeros(n_classes * n_classes, np.int64)
-        end_id, other = len(own) - 1, len(own) - 2
+    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    size = len(ids) + 2
+    other, end = size - 2, size - 1
+
+    def out(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs, n = np.unique(np.concatenate(parts), return_counts=True)
+        for k in range(0, len(pairs), PAIR_ROWS):
+            yield batches({"pair": pa.array(pairs[k : k + PAIR_ROWS]), "n": pa.array(n[k : k + PAIR_ROWS], pa.int64())})
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, parts, held = shared.value, [], 0
         for batch in items:
-            tokens: list[int] = [end_id]
             for raw in byte_texts(batch.column("text")):
-                tokens.extend([known.get(w, other) for w in raw.lower().split()])
-                tokens.append(end_id)
-            words = np.array(tokens, np.int64)
-            kinds = own[words].astype(np.int64)
-            pairs += np.bincount(kinds[:-1] * n_classes + kinds[1:], minlength=len(pairs))
-            here = np.flatnonzero(words[1:] < clustered) + 1
-            before += np.bincount(words[here] * n_classes + kinds[here - 1], minlength=len(before))
-            after += np.bincount(words[here] * n_classes + kinds[here + 1], minlength=len(after))
-        both = np.concatenate([x.reshape(slices, SLICE_WORDS * n_classes) for x in (before, after)], axis=1)
-        found = [k for k in range(slices) if both[k].any()]
-        parts = [zlib.compress(both[k].tobytes(), 1) for k in found] + [zlib.compress(pairs.tobytes(), 1)]
-        yield batches({"slice": pa.array([*found, slices], pa.int32()), "part": pa.array(parts, pa.binary())})
-
-    def add(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+                words = np.array([end, *[known.get(w, other) for w in raw.lower().split()], end], np.int64)
+                parts.append(words[:-1] * size + words[1:])
+                held += len(words)
+                if held > TASK_PAIRS:
+                    yield from out(parts)
+                    parts, held = [], 0
+        if parts:
+            yield from out(parts)
+
+    summed = map_arrow(docs, run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return summed.select(F.expr(f"cast(pair div {size} as int)").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
+
+
+def contexts_of(pairs: DataFrame, classes: np.ndarray) -> DataFrame:
+    """(word, after, cls, n): how often a word has a neighbour of a class before it, or after it."""
+    # One row per word that tasks hold, at most HEAD_WORDS and two.
+    known = F.broadcast(pairs.sparkSession.createDataFrame(pa.table({
+        "word": pa.array(np.arange(len(classes)), pa.int32()), "cls": pa.array(classes, pa.int32())})))
+    sides = [pairs.join(known.withColumnRenamed("word", other), other).select(F.col(own).alias("word"), F.lit(after).alias("after"), "cls", "n")
+             for own, other, after in (("b", "a", False), ("a", "b", True))]
+    return sides[0].unionByName(sides[1]).groupBy("word", "after", "cls").agg(F.sum("n").alias("n"))
+
+
+def class_pairs(contexts: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """How often each class follows each, from the words' contexts before them."""
+    shared = contexts.sparkSession.createDataFrame(pa.table({
+        "word": pa.array(np.arange(len(classes)), pa.int32()), "own": pa.array(classes, pa.int32())}))
+    found = (contexts.where("not after").join(F.broadcast(shared), "word").groupBy("cls", "own").agg(F.sum("n").alias("n"))).toArrow()
+    out = np.zeros((n_classes, n_classes), np.int64)
+    out[found.column("cls").to_numpy(), found.column("own").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def mutual_information(pairs: np.ndarray) -> float:
+    """What the class of a word tells of the next one's, in nats a token: what exchange can raise of the log-likelihood."""
+    p = pairs / max(1, pairs.sum())
+    apart = p.sum(axis=1, keepdims=True) * p.sum(axis=0, keepdims=True)
+    seen = p > 0
+    return float((p[seen] * np.log(p[seen] / apart[seen])).sum())
+
+
+def exchanged(contexts: DataFrame, pairs: np.ndarray, classes: np.ndarray, turn: int, choices: int) -> np.ndarray:
+    """The classes after every second word (of ``turn``) could choose. Words choose in tasks, a dense row of contexts each."""
+    spark = contexts.sparkSession
+    shared = spark.sparkContext.broadcast(pairs)
+    clustered, n_classes = len(classes) - 2, len(pairs)
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in items:
-            for k, raw in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), strict=True):
-                part = np.frombuffer(zlib.decompress(raw), np.int64)
-                sums[k] = sums[k] + part if k in sums else part
-        yield batches({"slice": pa.array(list(sums), pa.int32()), "part": pa.array([v.tobytes() for v in sums.values()], pa.binary())})
-
-    kind = "slice int, part binary"
-    rows = map_arrow(map_arrow(docs, count, kind).repartition(slices + 1, "slice"), add, kind).collect()
-    words = np.zeros((slices, 2 * SLICE_WORDS * n_classes), np.int64)
-    pairs = np.zeros((n_classes, n_classes), np.int64)
-    for row in rows:
-        if row.slice == slices:
-            pairs = np.frombuffer(row.part, np.int64).reshape(n_classes, n_classes)
-        else:
-            words[row.slice] = np.frombuffer(row.part, np.int64)
-    both = words.reshape(slices, 2, SLICE_WORDS, n_classes).transpose(1, 0, 2, 3).reshape(2, -1, n_classes)[:, :clustered]
+            lists = batch.column("seen")
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            after, cls, n = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+            both = np.zeros((2, len(lists), n_classes))
+            both[after.astype(np.int64), row, cls] = n
+            every = np.arange(len(lists))
+            yield batches({"word": batch.column("word"), "cls": pa.array(exchange(both, shared.value, np.zeros(len(lists), np.int64), every, choices), pa.int32())})
+
+    own = (contexts.where((F.col("word") < clustered) & (F.expr("word div 2 % 2") == turn % 2))
+           .groupBy("word").agg(F.collect_list(F.struct("after", "cls", "n")).alias("seen")))
+    found = map_arrow(own, run, "word int, cls int").toArrow()
+    out = classes.copy()
+    out[found.column("word").to_numpy()] = found.column("cls").to_numpy()
     shared.unpersist()
-    assert rest < end
-    return both, pairs
+    return out
+
+
+def cluster(pairs: DataFrame, clustered: int, n_classes: int, least_gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the words, the other word and the end, and the counts of class pairs under them.
+
+    Words start dealt over the classes by rank. The rounds end when two of them raised the mutual information by less than
+    ``least_gain`` of itself; the best classes of all rounds are returned.
+    """
+    classes = np.concatenate([np.arange(clustered) % n_classes, [n_classes, n_classes + 1]])
+    best, gained = None, []
+    while True:
+        contexts = materialize(contexts_of(pairs, classes), "brown-contexts")
+        found = class_pairs(contexts, classes, n_classes + 2)
+        gained.append(mutual_information(found))
+        if best is None or gained[-1] > best[0]:
+            best = gained[-1], classes, found
+        if not clustered or (len(gained) > 2 and max(gained[-2:]) <= max(gained[:-2]) * (1 + least_gain)):
+            return best[1], best[2]
+        classes = exchanged(contexts, found, classes, len(gained), n_classes)
 
 
 def exchange(contexts: np.ndarray, pairs: np.ndarray, classes: np.ndarray, offered: np.ndarray, choices: int) -> np.ndarray:
@@ -148,28 +199,27 @@ def exchange(contexts: np.ndarray, pairs: np.ndarray, classes: np.ndarray, offer
     return out
 
 
-def train(docs: DataFrame, head_words: int = HEAD_WORDS, clustered_words: int = CLUSTERED_WORDS, n_classes: int = CLASSES,
-          rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """The model of the texts in ``docs`` (text), and the table of all word counts."""
+def train(docs: DataFrame, head_words: int = HEAD_WORDS, clustered_words: int | None = None, n_classes: int | None = None,
+          least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN) -> tuple[Model, DataFrame]:
+    """The model of the texts in ``docs`` (text), and the table of all word counts.
+
+    Unless told otherwise, all head words with ``least_count`` occurrences get a class, of a number that grows with them.
+    """
     counts = materialize(word_counts(docs), "brown-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     head = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(head_words).toArrow()
     words, n = head.column("word").to_pylist(), head.column("n").to_numpy()
     ids = {w: k for k, w in enumerate(words)}
-    clustered = min(clustered_words, len(words))
+    often = int(np.count_nonzero(n >= least_count))
+    clustered = often if clustered_words is None else min(clustered_words, len(words))
+    n_classes = n_classes or class_number(clustered)
     rest, end = n_classes, n_classes + 1
+    near = {w: k for w, k in ids.items() if k < clustered}
+    small, pairs = cluster(materialize(pair_counts(docs, near), "brown-pairs"), clustered, n_classes, least_gain)
     # Ids after the head's: any other word, and the end of a text.
     classes = np.full(len(words) + 2, rest, np.int16)
-    classes[:clustered] = np.arange(clustered) % n_classes
-    classes[-1] = end
-    near = {w: k for w, k in ids.items() if k < clustered}
-    small = np.concatenate([classes[:clustered], classes[-2:]])
-    for k in range(rounds):
-        contexts, pairs = _class_sums(docs, near, small, n_classes + 2, clustered)
-        offered = np.arange(clustered)[(np.arange(clustered) // 2 + k) % 2 == 0]
-        small[:clustered] = exchange(contexts, pairs, small[:clustered], offered, n_classes)
-    _, pairs = _class_sums(docs, near, small, n_classes + 2, clustered)
     classes[:clustered] = small[:clustered]
+    classes[-1] = end
     sizes = pairs.sum(axis=0).astype(np.float64)
     kinds = np.bincount(classes[:clustered], minlength=n_classes + 2).astype(np.float64)
     # The rest's class has all other words and, as one more, any word never seen.

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from eventlode.llm.brown import exchange, op10_brown_scores, score_held_out, train
+from eventlode.llm.brown import class_number, cluster, exchange, mutual_information, op10_brown_scores, pair_counts, score, score_held_out, train
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -74,3 +74,65 @@ def test_no_training_word(spark, texts):
     assert len(rows) == len(texts) and all(math.isfinite(r.score) and r.score <= 0 and math.isfinite(r.base_score) for r in rows)
     trained = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)
     assert {(r.train_tokens, r.n_known > 0) for r in rows} == {(trained, trained > 0)}
+
+
+def grammar(rows=300):
+    """Texts in which three kinds of words take turns, every word in many contexts."""
+    rng = np.random.default_rng(1)
+    return [" ".join(f"{'xyz'[k % 3]}{rng.integers(12)}" for k in range(rng.integers(3, 40))) for _ in range(rows)]
+
+
+def test_rounds_find_planted_classes(spark):
+    texts = grammar()
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    ids = {f"{c}{k}".encode(): n for n, (k, c) in enumerate((k, c) for k in range(12) for c in "xyz")}
+    pairs = pair_counts(docs, ids).cache()
+    plain = Counter()
+    for t in texts:
+        own = [37, *[ids[w.encode()] for w in t.split()], 37]
+        plain.update(zip(own, own[1:]))
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == dict(plain)
+    # Classes of the right kinds tell the next word's class almost surely; dealt ones are one rank apart and tell nothing.
+    order = np.random.default_rng(2).permutation(36)
+    mixed = pairs.select(*[spark_map(c, order) for c in "ab"], "n")
+    classes, counts = cluster(mixed, 36, 3, 0.01)
+    kinds = [{int(classes[order[k]]) for k in range(36) if k % 3 == c} for c in range(3)]
+    assert all(len(x) == 1 for x in kinds) and len(set.union(*kinds)) == 3
+    assert counts.sum() == sum(plain.values()) and mutual_information(counts) > 0.9
+
+
+def spark_map(column, order):
+    from pyspark.sql import functions as F
+
+    return F.element_at(F.array(*[F.lit(int(x)) for x in [*order, 36, 37]]), F.col(column) + 1).alias(column)
+
+
+def test_class_number_grows_with_the_vocabulary():
+    assert [class_number(n) for n in (0, 1, 16, 400, 10_000, 200_000)] == [2, 2, 2, 10, 50, 223]
+
+
+def test_scores_equal_a_plain_class_model(spark):
+    texts = {i: t for i, t in enumerate([*grammar(60), "", None, "never seen x1", "x1 x1"])}
+    docs = spark.createDataFrame([(i, t, False) for i, t in texts.items()], "doc_id long, text string, held_out boolean")
+    model, counts = train(docs.select("text"), least_count=3)
+    kind = lambda w: model.end if w == b" " else int(model.classes[model.ids[w]]) if w in model.ids else model.rest
+    seen = Counter(w for t in texts.values() for w in words(t))
+    assert all(kind(w) < model.rest for w, n in seen.items() if n >= 3 and w != b" ")
+    follow, sizes, members = Counter(), Counter(), Counter(kind(w) for w in seen)
+    members[model.rest] += 1
+    for t in texts.values():
+        own = [model.end, *map(kind, words(t))]
+        follow.update(zip(own, own[1:]))
+        sizes.update(own[1:])
+    total = Counter()
+    for (a, _), n in follow.items():
+        total[a] += n
+    n_classes = len(model.sizes)
+    for r in score(docs, model, counts).collect():
+        own, expected, before = words(texts[r.doc_id]), 0.0, model.end
+        for w in own:
+            k = kind(w)
+            expected += math.log10((follow[before, k] + 0.5) / (total[before] + 0.5 * n_classes))
+            expected += math.log10((seen[w] + 1) / (sizes[k] + members[k]))
+            before = k
+        assert r.score == pytest.approx(expected, rel=1e-9)
