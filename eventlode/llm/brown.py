@@ -6,8 +6,8 @@ makes its neighbours' classes and itself most likely, half of the words in each
 other words share one class, in which they differ by their counts; the end of a text has its own.
 
 Word counts cover the whole training corpus. The most frequent ones, a bounded table, are looked up inside tasks; the
-counts of all others reach their texts by a join. Pairs of neighbouring words are counted once, into a table; each round
-sums that table by word and class of the neighbour. The driver sees word classes and class pairs only.
+counts of all others reach their texts by a join. Pairs of neighbouring words are counted once, into a table with
+a row per word, over which the rounds run without a shuffle of words. The driver sees word classes and class pairs only.
 """
 
 from __future__ import annotations
@@ -112,23 +112,44 @@ def pair_counts(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
     return summed.select(F.expr(f"cast(pair div {size} as int)").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
 
 
-def contexts_of(pairs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """(word, after, cls, n): how often a word has a neighbour of a class before it, or after it."""
-    # One row per word that tasks hold, at most HEAD_WORDS and two.
-    known = F.broadcast(pairs.sparkSession.createDataFrame(pa.table({
-        "word": pa.array(np.arange(len(classes)), pa.int32()), "cls": pa.array(classes, pa.int32())})))
-    sides = [pairs.join(known.withColumnRenamed("word", other), other).select(F.col(own).alias("word"), F.lit(after).alias("after"), "cls", "n")
-             for own, other, after in (("b", "a", False), ("a", "b", True))]
-    return sides[0].unionByName(sides[1]).groupBy("word", "after", "cls").agg(F.sum("n").alias("n"))
+def neighbours(pairs: DataFrame, size: int) -> DataFrame:
+    """(word, seen): every neighbour of a word as one number: its count, its id, whether it comes after the word.
 
+    A word has at most ``size`` neighbours on each side, HEAD_WORDS and two, however large the corpus is.
+    """
+    bits = (2 * size).bit_length()
+    sides = [pairs.select(F.col(own).alias("word"), (F.shiftleft("n", bits) + F.col(other) * 2 + after).alias("seen"))
+             for own, other, after in (("b", "a", 0), ("a", "b", 1))]
+    return sides[0].unionByName(sides[1]).groupBy("word").agg(F.collect_list("seen").alias("seen"))
+
+
+def _contexts(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """How often each word of the batch has a neighbour of each class, before it and after it."""
+    lists, bits = batch.column("seen"), (2 * len(classes)).bit_length()
+    rows = len(lists)
+    row = np.repeat(np.arange(rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+    seen = lists.flatten().to_numpy(zero_copy_only=False)
+    code = seen & ((1 << bits) - 1)
+    place = ((code & 1) * rows + row) * n_classes + classes[code >> 1]
+    return np.bincount(place, weights=seen >> bits, minlength=2 * rows * n_classes).reshape(2, rows, n_classes)
+
+
+def class_pairs(near: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
+    """How often each class follows each. Tasks hand on their sums, which a shuffle adds."""
+    shared = near.sparkSession.sparkContext.broadcast(classes)
 
-def class_pairs(contexts: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
-    """How often each class follows each, from the words' contexts before them."""
-    shared = contexts.sparkSession.createDataFrame(pa.table({
-        "word": pa.array(np.arange(len(classes)), pa.int32()), "own": pa.array(classes, pa.int32())}))
-    found = (contexts.where("not after").join(F.broadcast(shared), "word").groupBy("cls", "own").agg(F.sum("n").alias("n"))).toArrow()
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n_classes, n_classes), np.int64)
+        for batch in items:
+            before = _contexts(batch, shared.value, n_classes)[0]
+            np.add.at(total, shared.value[batch.column("word").to_numpy()], before.astype(np.int64))
+        own, cls = np.nonzero(total)
+        yield batches({"cls": pa.array(cls, pa.int32()), "own": pa.array(own, pa.int32()), "n": pa.array(total[own, cls], pa.int64())})
+
+    found = map_arrow(near, run, "cls int, own int, n long").groupBy("cls", "own").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((n_classes, n_classes), np.int64)
     out[found.column("cls").to_numpy(), found.column("own").to_numpy()] = found.column("n").to_numpy()
+    shared.unpersist()
     return out
 
 
@@ -140,24 +161,19 @@ def mutual_information(pairs: np.ndarray) -> float:
     return float((p[seen] * np.log(p[seen] / apart[seen])).sum())
 
 
-def exchanged(contexts: DataFrame, pairs: np.ndarray, classes: np.ndarray, turn: int, choices: int) -> np.ndarray:
+def exchanged(near: DataFrame, pairs: np.ndarray, classes: np.ndarray, turn: int, choices: int) -> np.ndarray:
     """The classes after every second word (of ``turn``) could choose. Words choose in tasks, a dense row of contexts each."""
-    spark = contexts.sparkSession
-    shared = spark.sparkContext.broadcast(pairs)
-    clustered, n_classes = len(classes) - 2, len(pairs)
+    shared = near.sparkSession.sparkContext.broadcast((pairs, classes))
+    clustered = len(classes) - 2
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, classes = shared.value
         for batch in items:
-            lists = batch.column("seen")
-            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            after, cls, n = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
-            both = np.zeros((2, len(lists), n_classes))
-            both[after.astype(np.int64), row, cls] = n
-            every = np.arange(len(lists))
-            yield batches({"word": batch.column("word"), "cls": pa.array(exchange(both, shared.value, np.zeros(len(lists), np.int64), every, choices), pa.int32())})
-
-    own = (contexts.where((F.col("word") < clustered) & (F.expr("word div 2 % 2") == turn % 2))
-           .groupBy("word").agg(F.collect_list(F.struct("after", "cls", "n")).alias("seen")))
+            words = batch.column("word").to_numpy()
+            own = exchange(_contexts(batch, classes, len(pairs)), pairs, classes[words], np.arange(len(words)), choices)
+            yield batches({"word": batch.column("word"), "cls": pa.array(own, pa.int32())})
+
+    own = near.where((F.col("word") < clustered) & (F.expr("word div 2 % 2") == turn % 2))
     found = map_arrow(own, run, "word int, cls int").toArrow()
     out = classes.copy()
     out[found.column("word").to_numpy()] = found.column("cls").to_numpy()
@@ -172,16 +188,16 @@ def cluster(pairs: DataFrame, clustered: int, n_classes: int, least_gain: float)
     ``least_gain`` of itself; the best classes of all rounds are returned.
     """
     classes = np.concatenate([np.arange(clustered) % n_classes, [n_classes, n_classes + 1]])
+    near = materialize(neighbours(pairs, clustered + 2), "brown-neighbours")
     best, gained = None, []
     while True:
-        contexts = materialize(contexts_of(pairs, classes), "brown-contexts")
-        found = class_pairs(contexts, classes, n_classes + 2)
+        found = class_pairs(near, classes, n_classes + 2)
         gained.append(mutual_information(found))
         if best is None or gained[-1] > best[0]:
             best = gained[-1], classes, found
         if not clustered or (len(gained) > 2 and max(gained[-2:]) <= max(gained[:-2]) * (1 + least_gain)):
             return best[1], best[2]
-        classes = exchanged(contexts, found, classes, len(gained), n_classes)
+        classes = exchanged(near, found, classes, len(gained), n_classes)
 
 
 def exchange(contexts: np.ndarray, pairs: np.ndarray, classes: np.ndarray, offered: np.ndarray, choices: int) -> np.ndarray:
@@ -215,7 +231,7 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS, clustered_words: int |
     n_classes = n_classes or class_number(clustered)
     rest, end = n_classes, n_classes + 1
     near = {w: k for w, k in ids.items() if k < clustered}
-    small, pairs = cluster(materialize(pair_counts(docs, near), "brown-pairs"), clustered, n_classes, least_gain)
+    small, pairs = cluster(pair_counts(docs, near), clustered, n_classes, least_gain)
     # Ids after the head's: any other word, and the end of a text.
     classes = np.full(len(words) + 2, rest, np.int16)
     classes[:clustered] = small[:clustered]
