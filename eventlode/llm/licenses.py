@@ -1,15 +1,16 @@
 """License scans by conditional compression.
 
-Around each license word, as many words as a template can span are compared with every template, wherever lines end. Where
-the wording of a template is found, the passage is compressed once alone and once with the template as a raw dictionary; it
-is confirmed if that saves bytes and by the exact differences in wording. What is left of the runs of lines with license
-words, the candidate blocks, is reported with the template that shrinks it best, unconfirmed.
+A candidate block is as many words around a license word as a template can span, wherever lines end; blocks that meet are one.
+It is compressed alone and with each template as a raw dictionary. Templates that save bytes are tried, most bytes first: their
+notices are confirmed by the exact differences in wording and cut out, and what is left is ranked again, until no template saves
+anything. What is left of the runs of lines with license words is reported with the template that shrinks it best, unconfirmed.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -44,6 +45,10 @@ CUES = ("licens", "licenc", "copyright", "warrant", "permission is hereby", "red
 LONG_LINE, BRIDGE = 1_000, 2
 # Share of the template's words a block must have.
 LEAST_SHARE = 0.8
+# Characters compressed at once, and bytes compression is tuned to, with a template and without alike.
+PIECE, TUNED_TO = 4_096, 8_192
+# Passages whose reductions a task remembers.
+MEMORY = 10_000
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 _ANY_WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
@@ -79,6 +84,22 @@ def blocks_of(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+class Neighbours:
+    """Spans of words, none longer than ``longest``, found again by those that overlap them."""
+
+    def __init__(self, longest: int):
+        self.longest = max(1, longest)
+        self.held: defaultdict[int, list[tuple[list[int], tuple]]] = defaultdict(list)
+
+    def add(self, places: list[int], item: tuple) -> bool:
+        self.held[places[0] // self.longest].append((places, item))
+        return True
+
+    def overlapping(self, places: list[int]) -> list[tuple]:
+        slots = range(places[0] // self.longest - 1, places[-1] // self.longest + 1)
+        return [item for slot in slots for own, item in self.held.get(slot, ()) if own[0] <= places[-1] and places[0] <= own[-1]]
+
+
 class Matcher:
     """The templates, compiled for comparison."""
 
@@ -87,17 +108,32 @@ class Matcher:
         # Words that a notice and what is put between its words can span.
         self.reach = {name: 2 * len(words) + 8 for name, words in self.words.items()}
         self.furthest = max(self.reach.values(), default=0)
-        self.plain = zstandard.ZstdCompressor(level=3)
+        # One set of parameters, or sizes would differ by more than what a template saves.
+        self.parameters = zstandard.ZstdCompressionParameters.from_level(3, source_size=TUNED_TO)
+        self.plain = zstandard.ZstdCompressor(compression_params=self.parameters)
         self.with_template = {
-            name: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            name: zstandard.ZstdCompressor(compression_params=self.parameters, dict_data=zstandard.ZstdCompressionDict(
+                text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
             for name, text in templates.items()}
+        self.ranked: dict[str, list[tuple[int, str]]] = {}
 
     def reductions(self, block: str) -> list[tuple[int, str]]:
-        """Bytes saved by each template, most first; ties by name."""
-        data = block.lower().encode("utf-8", "replace")
-        alone = len(self.plain.compress(data))
-        saved = [(alone - len(c.compress(data)), name) for name, c in self.with_template.items()]
-        return sorted(saved, key=lambda x: (-x[0], x[1]))
+        """Bytes saved by each template, most first; ties by name. Long blocks are compressed in pieces, losses counting 0."""
+        ranked = self.ranked.get(block)
+        if ranked is None:
+            saved = dict.fromkeys(self.with_template, 0)
+            pieces = [block[k : k + PIECE].lower().encode("utf-8", "replace") for k in range(0, len(block), PIECE)]
+            for data in pieces:
+                alone = len(self.plain.compress(data))
+                for name, c in self.with_template.items():
+                    less = alone - len(c.compress(data))
+                    saved[name] += less if len(pieces) == 1 else max(0, less)
+            ranked = sorted(((k, name) for name, k in saved.items()), key=lambda x: (-x[0], x[1]))
+            if len(block) <= PIECE:
+                if len(self.ranked) >= MEMORY:
+                    self.ranked.clear()
+                self.ranked[block] = ranked
+        return ranked
 
     def wording(self, block: list[str], name: str) -> tuple[int, list[str], list[str]]:
         """Words in common in order, the template's words that are missing, and other words among those in common."""
@@ -111,22 +147,22 @@ class Matcher:
         return len(held), missing, extra
 
     def judge(self, block: str) -> dict:
-        """The license of a block: among the templates that save most, the one with the fewest differences in wording.
+        """The license of a block: the first in order of bytes saved that its wording confirms, else the one that saves most.
 
         It is confirmed if the block has enough of the template's words and all of its words with digits (versions).
         """
-        ranked = self.reductions(block)
         words = words_of(block)
         best = None
-        for saved, name in ranked:
+        for saved, name in self.reductions(block):
             if saved <= 0:
-                continue
+                break
             held, missing, extra = self.wording(words, name)
             ok = held >= LEAST_SHARE * len(self.words[name]) and not any(c.isdigit() for w in missing for c in w)
-            key = (not ok, len(missing) + len(extra), -len(self.words[name]), name)
-            if best is None or key < best[0]:
-                best = (key, {"license": name, "saved_bytes": saved, "missing": missing, "extra": extra, "confirmed": ok})
-        return best[1] if best else {"license": None, "saved_bytes": 0, "missing": [], "extra": [], "confirmed": False}
+            if ok or best is None:
+                best = {"license": name, "saved_bytes": saved, "missing": missing, "extra": extra, "confirmed": ok}
+            if ok:
+                break
+        return best or {"license": None, "saved_bytes": 0, "missing": [], "extra": [], "confirmed": False}
 
     def occurrences(self, words: list[str], name: str) -> list[tuple[int, list[int], list[str], list[str]]]:
         """(words in common less differences, places of the common words, missing, extra) of a template's confirmed notices."""
@@ -157,9 +193,46 @@ class Matcher:
             extra = [words[k] for k in range(places[0], places[-1]) if k not in within]
             if len(held) > len(missing) + len(extra):
                 found.append((len(held) - len(missing) - len(extra), places, missing, extra))
-        chosen: list[tuple[int, list[int], list[str], list[str]]] = []
-        for x in sorted(found, key=lambda x: (-x[0], x[1])):
-            if all(x[1][-1] < y[1][0] or y[1][-1] < x[1][0] for y in chosen):
+        near = Neighbours(self.furthest)
+        return [x for x in sorted(found, key=lambda x: (-x[0], x[1])) if not near.overlapping(x[1]) and near.add(x[1], x)]
+
+    def in_block(self, text: str, tokens: list[tuple[int, int, str]]) -> list[tuple]:
+        """The confirmed notices of one candidate block, its words being ``tokens``.
+
+        Templates have their turn by the bytes they save on what is left of the block. A notice is cut out if its template is
+        also the one that saves most on the notice alone; others may turn out to be a similar template's, and stay.
+        """
+        words = [t[2] for t in tokens]
+        begin, stop = tokens[0][0], tokens[-1][1]
+        left = np.ones(stop - begin, np.bool_)
+        rest, tried, found = text[begin:stop], set(), []
+        while True:
+            name = next((n for saved, n in self.reductions(rest) if saved > 0 and n not in tried), None)
+            if name is None:
+                break
+            tried.add(name)
+            cut = False
+            for x in self.occurrences(words, name):
+                start, end = tokens[x[1][0]][0], tokens[x[1][-1]][1]
+                saved, best = self.reductions(text[start:end])[0]
+                if best != name:
+                    saved = next(k for k, n in self.reductions(text[start:end]) if n == name)
+                if saved > 0:
+                    found.append((*x, name, saved))
+                    if best == name:
+                        # Other words between the notice's own stay: they may belong to another notice, as in a dual license.
+                        for one, two in zip(x[1], [*x[1][1:], None], strict=True):
+                            stop_at = tokens[two][0] if two == one + 1 else tokens[one][1]
+                            left[tokens[one][0] - begin : stop_at - begin] = False
+                        cut = True
+            if cut:
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], left, [False]]).astype(np.int8)))
+                rest = " ".join(text[begin + lo : begin + hi] for lo, hi in edges.reshape(-1, 2).tolist())
+        # Where notices of several templates overlap, exact wording settles which of them stand.
+        near, chosen = Neighbours(self.furthest), []
+        for x in sorted(found, key=lambda x: (-x[0], x[1], x[4])):
+            if all(self._stands_beside(words, x, y) for y in near.overlapping(x[1])):
+                near.add(x[1], x)
                 chosen.append(x)
         return chosen
 
@@ -181,22 +254,14 @@ class Matcher:
                 regions.append([lo, hi])
         rows = []
         for lo, hi in regions:
-            words = [t[2] for t in tokens[lo:hi]]
-            found = [(*x, name) for name in self.words for x in self.occurrences(words, name)]
-            chosen: list[tuple] = []
-            for x in sorted(found, key=lambda x: (-x[0], x[1], x[4])):
-                if all(self._stands_beside(words, x, y) for y in chosen):
-                    chosen.append(x)
-            for _, places, missing, extra, name in chosen:
-                start, end = tokens[lo + places[0]][0], tokens[lo + places[-1]][1]
-                saved = dict((n, k) for k, n in self.reductions(text[start:end]))[name]
-                if saved > 0:
-                    rows.append({"block_start": start, "block_end": end, "license": name, "saved_bytes": saved, "missing": missing, "extra": extra, "confirmed": True})
+            block = tokens[lo:hi]
+            if block:
+                rows += [{"block_start": block[places[0]][0], "block_end": block[places[-1]][1], "license": name, "saved_bytes": saved,
+                          "missing": missing, "extra": extra, "confirmed": True}
+                         for _, places, missing, extra, name, saved in self.in_block(text, block)]
         return sorted(rows, key=lambda r: (r["block_start"], r["block_end"], r["license"]))
 
     def _stands_beside(self, words: list[str], one: tuple, other: tuple) -> bool:
-        if one[1][-1] < other[1][0] or other[1][-1] < one[1][0]:
-            return True
         telling = set(self.words[one[4]]) - set(self.words[other[4]])
         used = set(other[1])
         own = 2 * len({words[k] for k in one[1] if k not in used} & telling)
@@ -241,7 +306,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
                     if not _CUE.search(block):
                         continue
                     if block not in known:
-                        if len(known) > 10_000:
+                        if len(known) >= MEMORY:
                             known.clear()
                         known[block] = {**matcher.judge(block), "confirmed": False}
                     rows.append({"doc_id": doc_id, "block_start": start, "block_end": end, **known[block]})

@@ -76,3 +76,33 @@ def test_several_notices(spark):
         assert sorted(r.license for r in rows) == sorted(want), text
     # What is left of a block stays a candidate of its own.
     assert [(r.confirmed, cases[6][0][r.block_start : r.block_end].strip()) for r in found if r.doc_id == 6][1:] == [(False, ".\nLicensed under terms of our own.")]
+
+
+def test_compression_ranks_and_selects(monkeypatch):
+    # A template that saves nothing is never compared; the order of trials is that of the bytes saved.
+    matcher, tried = Matcher(TEMPLATES), []
+    plain = Matcher.occurrences
+    monkeypatch.setattr(Matcher, "occurrences", lambda self, words, name: (tried.append(name), plain(self, words, name))[1])
+    text = "Some words. " + TEMPLATES["LGPL-3.0"] + " Other words."
+    assert [r["license"] for r in matcher.licenses(text)] == ["LGPL-3.0"]
+    assert tried[0] == "LGPL-3.0" == matcher.reductions(text)[0][1]
+    # With its notice cut out, nothing of the words left is like a template.
+    assert len(tried) < len(TEMPLATES)
+    # An unconfirmed block names the template that saves most.
+    block = "You may redistribute and/or modify it under the terms of the GNU General Public License as published, says the licence."
+    found = matcher.judge(block)
+    assert (found["saved_bytes"], found["license"]) == matcher.reductions(block)[0] and not found["confirmed"]
+
+
+def test_many_notices_in_one_text():
+    import time
+
+    matcher = Matcher(TEMPLATES)
+    one = "Released under the MIT License. Licensed under the Apache License, Version 2.0.\n"
+    spent = []
+    for n in (500, 2_000):
+        start = time.perf_counter()
+        assert [r["license"] for r in matcher.licenses(one * n)] == ["MIT", "Apache-2.0"] * n
+        spent.append(time.perf_counter() - start)
+    # Four times the text takes about four times as long, not sixteen times.
+    assert spent[1] < 10 * spent[0] + 1
