@@ -3,6 +3,7 @@
 A response's HTTP message is framed in chunks and cut into segments: the first record carries the headers, the others
 are continuation records that name it as their origin. Reading groups continuations by origin, orders them by segment
 number, checks the total length, and undoes the chunk framing. Payloads that occur again are written as revisit records.
+Every record is a gzip member of its own, so that one can be read without what lies before it.
 Archives are written and read through Spark's file sources, so any store that Spark reaches will do.
 """
 
@@ -28,6 +29,8 @@ CHUNK, SEGMENT = 8_192, 65_536
 RECORDS_PER_FILE = 1_000
 # Payload bytes after which a task hands its records on.
 BATCH_BYTES = 8 << 20
+# Compression level of records.
+LEVEL = 6
 # Payloads smaller than this are always stored.
 LEAST_REVISIT = 100
 
@@ -97,8 +100,18 @@ def page_records(page_id: int | None, row: int, url: str | None, payload: bytes,
         ], part)
 
 
+def member(data: bytes) -> bytes:
+    """The data as one gzip member that ends in a zero byte.
+
+    A member ends in its data's length, lowest byte first, so data of less than 16 MB end in a zero. Longer ones get an
+    empty member besides, which readers pass over.
+    """
+    packed = gzip.compress(data, LEVEL, mtime=0)
+    return packed if packed[-1] == 0 else packed + gzip.compress(b"", LEVEL, mtime=0)
+
+
 def warc_records(pages: DataFrame) -> DataFrame:
-    """WARC records as text (column ``value``, without the last line break), from the rows of ``with_revisits``."""
+    """WARC records as gzip members (column ``value``, without their last byte), from the rows of ``with_revisits``."""
     date = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,23 +120,23 @@ def warc_records(pages: DataFrame) -> DataFrame:
             others = [batch.column(c).to_pylist() for c in ("page_id", "row", "url", "payload_digest", "first", "first_row")]
             lines, size = [], 0
             for page_id, row, url, digest, first, first_row, payload in zip(*others, payloads, strict=True):
-                lines += page_records(page_id, row, url, payload, digest, first, first_row, date)
+                lines += [member(x + b"\r\n")[:-1] for x in page_records(page_id, row, url, payload, digest, first, first_row, date)]
                 size += len(payload)
                 if size > BATCH_BYTES:
-                    yield batches({"value": pa.array(lines, pa.binary()).cast(pa.string())})
+                    yield batches({"value": pa.array(lines, pa.binary())})
                     lines, size = [], 0
             if lines:
-                yield batches({"value": pa.array(lines, pa.binary()).cast(pa.string())})
+                yield batches({"value": pa.array(lines, pa.binary())})
 
-    return map_arrow(pages, run, "value string")
+    return map_arrow(pages, run, "value binary")
 
 
 def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write one record per row, continuations besides. Null html is an empty payload; a null url has no header."""
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("payload"))
-    # Each record ends in two line breaks: its own and the writer's.
-    (warc_records(with_revisits(given)).write.option("lineSep", CRLF).option("compression", "gzip")
+    # The text writer copies bytes as they are and ends every row with the separator: the zero each member ends in.
+    (warc_records(with_revisits(given)).select(F.col("value").cast("string")).write.option("lineSep", "\0").option("compression", "none")
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 

@@ -6,7 +6,7 @@ import hashlib
 import pytest
 
 from compare import connect, difference
-from eventlode.llm.warc import OP7_SQL, http_payload, op7_warc_segments, parse_records, read_warc, resolve_revisits, write_warc
+from eventlode.llm.warc import OP7_SQL, http_payload, member, op7_warc_segments, parse_records, read_warc, resolve_revisits, write_warc
 
 
 def test_query_against_sql(spark, sf_dir):
@@ -27,9 +27,9 @@ def test_round_trip(spark, tmp_path):
         assert r.payload_bytes == len(html) and r.payload_digest == hashlib.sha256(html).hexdigest()
         assert r.record_type == "revisit" or r.payload == html
     assert sorted((r.page_id or 0, r.refers_to) for r in found if r.record_type == "revisit") == [(0, 6), (7, 6), (8, 1)]
-    kinds = [h["warc-type"] for f in (tmp_path / "w").glob("*.gz") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
+    kinds = [h["warc-type"] for f in (tmp_path / "w").glob("part-*") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
     assert kinds.count("continuation") >= 5
-    heads = [h for f in (tmp_path / "w").glob("*.gz") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
+    heads = [h for f in (tmp_path / "w").glob("part-*") for h, _ in parse_records(gzip.decompress(f.read_bytes()))]
     names = [h["warc-record-id"] for h in heads]
     stored = {h["warc-record-id"]: h["warc-payload-digest"] for h in heads if h["warc-type"] == "response"}
     revisits = [h for h in heads if h["warc-type"] == "revisit"]
@@ -37,6 +37,29 @@ def test_round_trip(spark, tmp_path):
     assert all(stored[h["warc-refers-to"]] == h["warc-payload-digest"] and h["warc-profile"].endswith("identical-payload-digest") for h in revisits)
 
 
+def test_records_can_be_sought(spark, tmp_path):
+    import zlib
+
+    pages = [(k, f"http://host/{k}", "é😀" * (k * 5_000)) for k in range(8)]
+    write_warc(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    (file,) = (tmp_path / "w").glob("part-*")
+    data, at, starts = file.read_bytes(), 0, []
+    while at < len(data):
+        one = zlib.decompressobj(wbits=31)
+        plain = one.decompress(data[at:]) + one.flush()
+        # Each member is one whole record, read from its own offset.
+        assert one.eof and len(list(parse_records(plain))) == 1
+        starts.append(at)
+        at = len(data) - len(one.unused_data)
+    assert len(starts) == sum(1 for _ in parse_records(gzip.decompress(data))) > len(pages)
+
+
+def test_member_ends_in_zero():
+    for data in (b"", b"x", b"y" * 70_000, b"z" * (1 << 24)):
+        packed = member(data)
+        assert packed[-1] == 0 and gzip.decompress(packed) == data
+
+
 def test_empty_table(spark, tmp_path):
     write_warc(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w"))
     assert read_warc(spark, str(tmp_path / "w")).count() == 0
@@ -44,7 +67,7 @@ def test_empty_table(spark, tmp_path):
 
 def test_missing_segment(spark, tmp_path):
     write_warc(spark.createDataFrame([(1, "u", "z" * 200_000)], "page_id long, url string, html string"), str(tmp_path / "w"))
-    (file,) = (tmp_path / "w").glob("*.gz")
+    (file,) = (tmp_path / "w").glob("part-*")
     data = gzip.decompress(file.read_bytes())
     at = [i for i in range(len(data)) if data.startswith(b"WARC/1.1\r\n", i)]
     (tmp_path / "cut").mkdir()
