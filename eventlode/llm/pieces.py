@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import ahocorasick
 import numpy as np
@@ -102,18 +103,33 @@ class Transducer:
         return (MARK if self.dummy_prefix else "") + text.replace(" ", MARK)
 
     def merged(self, text: str) -> list[str]:
-        """The pieces that merging leaves: the best pair first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                weight = self.weights.get(parts[k] + parts[k + 1])
-                if weight is not None and (best is None or weight < best):
-                    best, at = weight, k
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """The pieces that merging leaves: the best pair first, the leftmost of equals. Pairs wait in a heap by weight and place."""
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        waiting: list[tuple[float, int, str]] = []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] < len(parts):
+                both = parts[at] + parts[after[at]]
+                weight = self.weights.get(both)
+                if weight is not None:
+                    heappush(waiting, (weight, at, both))
+
+        for k in range(len(parts)):
+            offer(k)
+        while waiting:
+            _, at, both = heappop(waiting)
+            # A pair is gone if one of its two parts has been merged since.
+            if parts[at] is None or after[at] >= len(parts) or parts[at] + parts[after[at]] != both:
+                continue
+            gone = after[at]
+            parts[at], parts[gone] = both, None
+            after[at] = after[gone]
+            if after[gone] < len(parts):
+                before[after[gone]] = at
+            offer(before[at])
+            offer(at)
+        return [x for x in parts if x is not None]
 
     def _agree(self, pair: tuple[str, str]) -> bool:
         found = self.pairs[pair] = self.merged(pair[0] + pair[1]) == [x for x in pair if x]

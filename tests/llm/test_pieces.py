@@ -49,3 +49,12 @@ def test_odd_rows(spark, library):
     back = {r.doc_id: r.text for r in decode_pieces(encode_pieces(docs)).collect()}
     assert [back[k] for k in range(5)] == [t or "" for t in texts[:5]]
     assert encode_pieces(docs.where("false")).count() == 0
+
+
+def test_long_runs_of_marks(library):
+    machine, rng = Transducer.load(default_model()), random.Random(3)
+    for text in [" " * 100_000, "a" + " " * 30_001 + "b", *(" " * rng.randrange(200) + "x" + " " * rng.randrange(200) for _ in range(50))]:
+        assert machine.encode(text) == library.encode(text)
+    # Parts without a path of weight 0 are merged too.
+    for part in ("=" * 5_000, "ab" * 3_000, "".join(rng.choice("aeinst") for _ in range(3_000))):
+        assert [machine.arcs.get(x) for x in machine.merged("▁" + part)] == library.encode(part)
