@@ -3,7 +3,7 @@
 import re
 from collections import Counter
 
-from eventlode.llm.quality import RULES, Measures, keep_quality, measure_quality, op8_quality_rules, ordered
+from eventlode.llm.quality import RULES, Measures, estimate, keep_quality, measure_quality, op8_quality_rules, ordered
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -49,3 +49,23 @@ def test_order_by_rejections_per_cost():
     assert [r.name for r in ordered(RULES, figures)] == [r.name for r in reversed(RULES)]
     assert ordered(RULES, []) == RULES
     assert Measures("STOP NOW " .encode() * 3).upper_share == 1.0
+
+
+def test_estimate_counts_like_a_plain_loop(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = [r.text or "" for r in docs.collect()]
+    for figures in (estimate(docs, sample_rows=len(texts)), estimate(docs.repartition(7), sample_rows=2 * len(texts))):
+        found = {f["rule"]: (f["rejected"], f["tried"]) for f in figures}
+        assert found == {r.name: (sum(bool(r.rejects(Measures(t.encode()))) for t in texts), len(texts)) for r in RULES}
+    some = estimate(docs.repartition(5), sample_rows=50)
+    assert {f["tried"] for f in some} == {50}
+    assert {f["tried"] for f in estimate(docs.where("false"))} == {0}
+    # One id for all rows: no task measures more than the sample's size.
+    same = docs.selectExpr("cast(null as long) as doc_id", "text").repartition(3)
+    assert {f["tried"] for f in estimate(same, sample_rows=20)} == {60}
+
+
+def test_kept_is_what_no_rule_rejects(spark, sf_dir):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op8_quality_rules(spark, sf_dir).collect()
+    assert all(r.kept == (not any(x.rejects(Measures((texts[r.doc_id] or "").encode())) for x in RULES)) for r in rows)
