@@ -140,9 +140,15 @@ def class_pairs(near: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndar
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_classes, n_classes), np.int64)
+        bits = (2 * len(shared.value)).bit_length()
         for batch in items:
-            before = _contexts(batch, shared.value, n_classes)[0]
-            np.add.at(total, shared.value[batch.column("word").to_numpy()], before.astype(np.int64))
+            lists, classes = batch.column("seen"), shared.value
+            own = np.repeat(classes[batch.column("word").to_numpy()], lists.value_lengths().to_numpy(zero_copy_only=False))
+            seen = lists.flatten().to_numpy(zero_copy_only=False)
+            code = seen & ((1 << bits) - 1)
+            before = np.flatnonzero((code & 1) == 0)
+            place = own[before] * n_classes + classes[code[before] >> 1]
+            total += np.bincount(place, weights=seen[before] >> bits, minlength=n_classes * n_classes).astype(np.int64).reshape(total.shape)
         own, cls = np.nonzero(total)
         yield batches({"cls": pa.array(cls, pa.int32()), "own": pa.array(own, pa.int32()), "n": pa.array(total[own, cls], pa.int64())})
 
