@@ -6,8 +6,9 @@ makes its neighbours' classes and itself most likely, half of the words in each
 other words share one class, in which they differ by their counts; the end of a text has its own.
 
 Word counts cover the whole training corpus. The most frequent ones, a bounded table, are looked up inside tasks; the
-counts of all others reach their texts by a join. Pairs of neighbouring words are counted once, into a table with
-a row per word, over which the rounds run without a shuffle of words. The driver sees word classes and class pairs only.
+counts of all others reach their texts by a join. Texts are turned into word ids once; pairs of neighbouring words are counted
+from these into a table with a row per word, over which the rounds run without a shuffle of words. The driver sees word
+classes and class pairs only.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -81,14 +82,58 @@ def class_number(words: int) -> int:
     return max(2, math.isqrt(words) // 2)
 
 
+def encode(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
+    """``docs`` with, instead of ``text``, ``words``: the ids of its words, ``len(ids)`` for any other; the distinct others are
+    in ``tail``, how often in ``times``. Null and empty texts have no words."""
+    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    kept = docs.drop("text")
+    names, other = kept.columns, len(ids)
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in items:
+            rows, lengths, tails, tail_counts, tail_lengths = [], [], [], [], []
+            for raw in byte_texts(batch.column("text")):
+                words = raw.lower().split()
+                own = np.fromiter((known.get(w, other) for w in words), np.int32, len(words))
+                tail = Counter([words[k] for k in np.flatnonzero(own == other).tolist()])
+                rows.append(own)
+                lengths.append(len(words))
+                tails += tail.keys()
+                tail_counts += tail.values()
+                tail_lengths.append(len(tail))
+            yield batches({
+                **{c: batch.column(c) for c in names},
+                "words": list_array(np.concatenate(rows), np.array(lengths), pa.int32()),
+                "tail": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(tail_lengths)]), pa.int32()), pa.array(tails, pa.binary())),
+                "times": list_array(np.array(tail_counts, np.int32), np.array(tail_lengths), pa.int32()),
+            })
+
+    own = "words array<int>, tail array<binary>, times array<int>"
+    return map_arrow(docs, run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema), own]))
+
+
+def _with_ends(column: pa.Array, other: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts with an end before the first and after each (ids from ``other`` on are one, the end is the next),
+    and the texts' numbers of words."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    words = column.flatten().to_numpy(zero_copy_only=False)
+    out = np.full(len(words) + len(lengths) + 1, other + 1, np.int64)
+    out[np.arange(len(words)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)] = np.minimum(words, other)
+    return out, lengths
+
+
 def pair_counts(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
-    """(a, b, n): how often word ``b`` follows word ``a``, over all texts; all words beyond ``ids`` are one, the end another.
+    """(a, b, n): how often word ``b`` follows word ``a``, over all texts; all words beyond ``ids`` are one, the end another."""
+    return encoded_pairs(encode(docs.select("text"), ids), len(ids))
+
+
+def encoded_pairs(encoded: DataFrame, known: int) -> DataFrame:
+    """(a, b, n) of texts as word ids (``words``), those from ``known`` on being one.
 
     Every text stands between two ends. Pairs are counted within tasks before they are shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
-    size = len(ids) + 2
-    other, end = size - 2, size - 1
+    size = known + 2
 
     def out(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         pairs, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -96,42 +141,48 @@ def pair_counts(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
             yield batches({"pair": pa.array(pairs[k : k + PAIR_ROWS]), "n": pa.array(n[k : k + PAIR_ROWS], pa.int64())})
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, parts, held = shared.value, [], 0
+        parts, held = [], 0
         for batch in items:
-            for raw in byte_texts(batch.column("text")):
-                words = np.array([end, *[known.get(w, other) for w in raw.lower().split()], end], np.int64)
-                parts.append(words[:-1] * size + words[1:])
-                held += len(words)
-                if held > TASK_PAIRS:
-                    yield from out(parts)
-                    parts, held = [], 0
+            words, _ = _with_ends(batch.column("words"), known)
+            parts.append(words[:-1] * size + words[1:])
+            held += len(words)
+            if held > TASK_PAIRS:
+                yield from out(parts)
+                parts, held = [], 0
         if parts:
             yield from out(parts)
 
-    summed = map_arrow(docs, run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    summed = map_arrow(encoded.select("words"), run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return summed.select(F.expr(f"cast(pair div {size} as int)").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
 
 
 def neighbours(pairs: DataFrame, size: int) -> DataFrame:
-    """(word, seen): every neighbour of a word as one number: its count, its id, whether it comes after the word.
+    """(word, before, after): every neighbour of a word as one number, its count and its id, on the side where it stands.
 
     A word has at most ``size`` neighbours on each side, HEAD_WORDS and two, however large the corpus is.
     """
-    bits = (2 * size).bit_length()
-    sides = [pairs.select(F.col(own).alias("word"), (F.shiftleft("n", bits) + F.col(other) * 2 + after).alias("seen"))
-             for own, other, after in (("b", "a", 0), ("a", "b", 1))]
-    return sides[0].unionByName(sides[1]).groupBy("word").agg(F.collect_list("seen").alias("seen"))
+    bits = size.bit_length()
+    sides = [pairs.select(F.col(own).alias("word"), F.lit(side).alias("side"), (F.shiftleft("n", bits) + F.col(other)).alias("seen"))
+             for own, other, side in (("b", "a", 0), ("a", "b", 1))]
+    return sides[0].unionByName(sides[1]).groupBy("word").agg(
+        *[F.collect_list(F.when(F.col("side") == side, F.col("seen"))).alias(name) for side, name in enumerate(("before", "after"))])
+
+
+def _side(lists: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all neighbours in a column of ``neighbours``: the row, the class and the count."""
+    bits = len(classes).bit_length()
+    seen = lists.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    return row, classes[seen & ((1 << bits) - 1)], seen >> bits
 
 
 def _contexts(batch: pa.RecordBatch, classes: np.ndarray, n_classes: int) -> np.ndarray:
     """How often each word of the batch has a neighbour of each class, before it and after it."""
-    lists, bits = batch.column("seen"), (2 * len(classes)).bit_length()
-    rows = len(lists)
-    row = np.repeat(np.arange(rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-    seen = lists.flatten().to_numpy(zero_copy_only=False)
-    code = seen & ((1 << bits) - 1)
-    place = ((code & 1) * rows + row) * n_classes + classes[code >> 1]
-    return np.bincount(place, weights=seen >> bits, minlength=2 * rows * n_classes).reshape(2, rows, n_classes)
+    out = []
+    for name in ("before", "after"):
+        row, cls, n = _side(batch.column(name), classes)
+        out.append(np.bincount(row * n_classes + cls, weights=n, minlength=batch.num_rows * n_classes).reshape(-1, n_classes))
+    return np.array(out)
 
 
 def class_pairs(near: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
@@ -139,20 +190,16 @@ def class_pairs(near: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndar
     shared = near.sparkSession.sparkContext.broadcast(classes)
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((n_classes, n_classes), np.int64)
-        bits = (2 * len(shared.value)).bit_length()
+        total = np.zeros(n_classes * n_classes, np.int64)
         for batch in items:
-            lists, classes = batch.column("seen"), shared.value
-            own = np.repeat(classes[batch.column("word").to_numpy()], lists.value_lengths().to_numpy(zero_copy_only=False))
-            seen = lists.flatten().to_numpy(zero_copy_only=False)
-            code = seen & ((1 << bits) - 1)
-            before = np.flatnonzero((code & 1) == 0)
-            place = own[before] * n_classes + classes[code[before] >> 1]
-            total += np.bincount(place, weights=seen[before] >> bits, minlength=n_classes * n_classes).astype(np.int64).reshape(total.shape)
-        own, cls = np.nonzero(total)
-        yield batches({"cls": pa.array(cls, pa.int32()), "own": pa.array(own, pa.int32()), "n": pa.array(total[own, cls], pa.int64())})
-
-    found = map_arrow(near, run, "cls int, own int, n long").groupBy("cls", "own").agg(F.sum("n").alias("n")).toArrow()
+            row, cls, n = _side(batch.column("before"), shared.value)
+            own = shared.value[batch.column("word").to_numpy()].astype(np.int64) * n_classes
+            total += np.bincount(own[row] + cls, weights=n, minlength=len(total)).astype(np.int64)
+        own, cls = np.nonzero(total.reshape(n_classes, n_classes))
+        yield batches({"cls": pa.array(cls, pa.int32()), "own": pa.array(own, pa.int32()),
+                       "n": pa.array(total[own * n_classes + cls], pa.int64())})
+
+    found = map_arrow(near.select("word", "before"), run, "cls int, own int, n long").groupBy("cls", "own").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros((n_classes, n_classes), np.int64)
     out[found.column("cls").to_numpy(), found.column("own").to_numpy()] = found.column("n").to_numpy()
     shared.unpersist()
@@ -221,25 +268,33 @@ def exchange(contexts: np.ndarray, pairs: np.ndarray, classes: np.ndarray, offer
     return out
 
 
-def train(docs: DataFrame, head_words: int = HEAD_WORDS, clustered_words: int | None = None, n_classes: int | None = None,
-          least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN) -> tuple[Model, DataFrame]:
-    """The model of the texts in ``docs`` (text), and the table of all word counts.
+def vocabulary(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[DataFrame, dict[bytes, int], np.ndarray]:
+    """The table of all word counts of ``docs`` (text), the ranks of the most frequent words, and their counts."""
+    counts = materialize(word_counts(docs), "brown-counts")
+    head = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(head_words).toArrow()
+    return counts, {w: k for k, w in enumerate(head.column("word").to_pylist())}, head.column("n").to_numpy()
+
+
+def train(docs: DataFrame, head_words: int = HEAD_WORDS, **parameters) -> tuple[Model, DataFrame]:
+    """The model of the texts in ``docs`` (text), and the table of all word counts."""
+    counts, ids, n = vocabulary(docs, head_words)
+    return fit(encode(docs.select("text"), ids), counts, ids, n, **parameters), counts
+
+
+def fit(encoded: DataFrame, counts: DataFrame, ids: dict[bytes, int], n: np.ndarray, clustered_words: int | None = None,
+        n_classes: int | None = None, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN) -> Model:
+    """The model of texts as word ids, all words' ``counts`` and the head's ranks and counts.
 
     Unless told otherwise, all head words with ``least_count`` occurrences get a class, of a number that grows with them.
     """
-    counts = materialize(word_counts(docs), "brown-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(head_words).toArrow()
-    words, n = head.column("word").to_pylist(), head.column("n").to_numpy()
-    ids = {w: k for k, w in enumerate(words)}
     often = int(np.count_nonzero(n >= least_count))
-    clustered = often if clustered_words is None else min(clustered_words, len(words))
+    clustered = often if clustered_words is None else min(clustered_words, len(ids))
     n_classes = n_classes or class_number(clustered)
     rest, end = n_classes, n_classes + 1
-    near = {w: k for w, k in ids.items() if k < clustered}
-    small, pairs = cluster(pair_counts(docs, near), clustered, n_classes, least_gain)
+    small, pairs = cluster(encoded_pairs(encoded, clustered), clustered, n_classes, least_gain)
     # Ids after the head's: any other word, and the end of a text.
-    classes = np.full(len(words) + 2, rest, np.int16)
+    classes = np.full(len(ids) + 2, rest, np.int16)
     classes[:clustered] = small[:clustered]
     classes[-1] = end
     sizes = pairs.sum(axis=0).astype(np.float64)
@@ -249,7 +304,7 @@ def train(docs: DataFrame, head_words: int = HEAD_WORDS, clustered_words: int |
     kinds[end] = 1
     transitions = np.log10((pairs + 0.5) / (pairs.sum(axis=1, keepdims=True) + 0.5 * len(pairs)))
     own = np.concatenate([n, [0, int(sizes[end])]]).astype(np.float64)
-    return Model(ids, own, classes, transitions, sizes, kinds, int(total.n), int(total.v), rest, end), counts
+    return Model(ids, own, classes, transitions, sizes, kinds, int(total.n), int(total.v), rest, end)
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -258,45 +313,37 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     Null and empty texts have one token, their end. Rows are told apart by a number of their own, so repeated rows and
     null ids are scored each.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    keyed = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
+    return score_encoded(materialize(encode(keyed, model.ids), "brown-encoded"), model, counts)
+
+
+def score_encoded(encoded: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """The scores of texts as word ids (row, doc_id, held_out, words, tail, times)."""
+    shared = encoded.sparkSession.sparkContext.broadcast(replace(model, ids={}))
+    other = len(model.ids)
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        other, end_id = len(m.ids), len(m.ids) + 1
         logs = np.log10(m.counts + 1)
         emit = logs - np.log10(m.sizes + m.kinds)[m.classes]
         for batch in items:
-            n_tokens, known, base, scores, tails, tail_counts, lengths = [], [], [], [], [], [], []
-            for raw in byte_texts(batch.column("text")):
-                words = raw.lower().split()
-                ids = np.array([end_id, *[m.ids.get(w, other) for w in words], end_id], np.int64)
-                inside = ids[1:]
-                tail = Counter([words[k] for k in np.flatnonzero(inside == other)])
-                kinds = m.classes[ids]
-                n_tokens.append(len(inside))
-                known.append(int(np.count_nonzero(m.counts[inside] > 0)))
-                # The rest's own logarithm is that of an unseen word's count plus one, 0: the join adds what is missing.
-                base.append(float(logs[inside].sum()))
-                scores.append(float(m.transitions[kinds[:-1], kinds[1:]].sum() + emit[inside].sum()))
-                tails += tail.keys()
-                tail_counts += tail.values()
-                lengths.append(len(tail))
+            words, lengths = _with_ends(batch.column("words"), other)
+            kinds, inside = m.classes[words], words[1:]
+            starts = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)]).astype(np.int64)
+            # The rest's own logarithm is that of an unseen word's count plus one, 0: the join adds what is missing.
             yield batches({
                 "row": batch.column("row"), "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
-                "n_tokens": pa.array(n_tokens, pa.int64()), "known": pa.array(known, pa.int64()), "base": pa.array(base, pa.float64()),
-                "scored": pa.array(scores, pa.float64()),
-                "tail": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(tails, pa.binary())),
-                "times": list_array(np.array(tail_counts, np.int32), np.array(lengths), pa.int32()),
+                "n_tokens": pa.array(lengths + 1, pa.int64()), "known": pa.array(np.add.reduceat((m.counts[inside] > 0).astype(np.int64), starts)),
+                "base": pa.array(np.add.reduceat(logs[inside], starts)),
+                "scored": pa.array(np.add.reduceat(m.transitions[kinds[:-1], kinds[1:]] + emit[inside], starts)),
             })
 
-    schema = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, scored double, "
-              "tail array<binary>, times array<int>")
-    scored = materialize(map_arrow(docs.withColumn("row", F.monotonically_increasing_id()), run, schema), "brown-scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row", F.col("x.tail").alias("word"), F.col("x.times").alias("times"))
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, scored double"
+    scored = map_arrow(encoded.select("row", "doc_id", "held_out", "words"), run, schema)
+    rare = encoded.select("row", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row", F.col("x.tail").alias("word"), F.col("x.times").alias("times"))
     found = rare.join(counts, "word").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("more_known"))
-    joined = scored.drop("tail", "times").join(found, "row", "left")
+    joined = scored.join(found, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     least = math.log10(model.train_tokens + model.train_words + 1)
     return joined.select(
@@ -311,15 +358,18 @@ def with_folds(docs: DataFrame, folds: int = 7, held: int = 2) -> DataFrame:
     return docs.withColumn("held_out", F.pmod(key, F.lit(folds)) == held)
 
 
-def score_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+def score_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS,
+                   **parameters) -> DataFrame:
     """Train on the rows that aren't held out and score all rows. An empty table gives an empty result.
 
     Without a training word, or without a training row, all counts are zero: transitions are uniform, and every word is one
     that was never seen.
     """
     docs = with_folds(ids_and_texts(docs, id_col, text_col))
-    model, counts = train(docs.where("not held_out").select("text"), **parameters)
-    return score(docs, model, counts)
+    counts, ids, n = vocabulary(docs.where("not held_out").select("text"), head_words)
+    keyed = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
+    encoded = materialize(encode(keyed, ids), "brown-encoded")
+    return score_encoded(encoded, fit(encoded.where("not held_out"), counts, ids, n, **parameters), counts)
 
 
 def op10_brown_scores(spark, sf_dir: str) -> DataFrame:
