@@ -180,23 +180,49 @@ def _page(urn: str | None) -> int | None:
     return int(name) if name not in ("", "null") else None
 
 
-_RECORD = "origin string, type string, page_id long, refers_to long, digest string, segment int, total long, block binary"
+_RECORD = ("origin string, type string, page_id long, refers_to long, digest string, segment int, total long, block binary, "
+           "size long, found string, whole boolean")
 
 
-def _records(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _opened(message: bytes, kind: str, told: str | None) -> tuple[int | None, str | None, bool, bytes]:
+    """Payload size and digest of a whole HTTP message, whether it is what the record tells, and the payload.
+
+    A revisit has no payload of its own; its digest is the one it tells.
+    """
+    try:
+        body, whole = http_payload(message), True
+    except ValueError:
+        body, whole = b"", False
+    if kind == "revisit":
+        return None, told, whole, body
+    found = hashlib.sha256(body).hexdigest()
+    return len(body), found, whole and found == told, body
+
+
+def _records(payloads: bool):
+    """The records of archive files. One that has no segments is opened here; only segments travel to where they are joined."""
     kinds = {"origin": pa.string(), "type": pa.string(), "page_id": pa.int64(), "refers_to": pa.int64(), "digest": pa.string(),
-             "segment": pa.int32(), "total": pa.int64(), "block": pa.binary()}
-    for batch in items:
-        for content in batch.column(0):
-            rows: list[list] = [[] for _ in kinds]
-            for h, block in parse_records(gzip.decompress(content.as_py())):
-                origin = h.get("warc-segment-origin-id", h["warc-record-id"])
-                total = h.get("warc-segment-total-length")
-                row = (origin, h["warc-type"], _page(origin), _page(h.get("warc-refers-to")), h.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-                       int(h.get("warc-segment-number", 1)), int(total) if total else None, block)
-                for column, value in zip(rows, row, strict=True):
-                    column.append(value)
-            yield batches({n: pa.array(x, kind) for (n, kind), x in zip(kinds.items(), rows, strict=True)})
+             "segment": pa.int32(), "total": pa.int64(), "block": pa.binary(), "size": pa.int64(), "found": pa.string(), "whole": pa.bool_()}
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in items:
+            for content in batch.column(0):
+                rows: list[list] = [[] for _ in kinds]
+                for h, block in parse_records(gzip.decompress(content.as_py())):
+                    origin, kind = h.get("warc-segment-origin-id", h["warc-record-id"]), h["warc-type"]
+                    told = h.get("warc-payload-digest", "").removeprefix("sha256:") or None
+                    total = h.get("warc-segment-total-length")
+                    size = found = whole = None
+                    if "warc-segment-number" not in h and total is None:
+                        size, found, whole, body = _opened(block, kind, told)
+                        block = body if payloads else None
+                    row = (origin, kind, _page(origin), _page(h.get("warc-refers-to")), told,
+                           int(h.get("warc-segment-number", 1)), int(total) if total else None, block, size, found, whole)
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+                yield batches({n: pa.array(x, kind) for (n, kind), x in zip(kinds.items(), rows, strict=True)})
+
+    return run
 
 
 def _assembled(payloads: bool):
@@ -204,23 +230,24 @@ def _assembled(payloads: bool):
         for batch in items:
             size, digest, intact, bodies = [], [], [], []
             for segments, kind, told in zip(*(batch.column(c).to_pylist() for c in ("segments", "type", "digest")), strict=True):
-                numbers = [s["segment"] for s in segments]
-                message = b"".join(s["block"] for s in segments)
-                total = segments[-1]["total"]
-                whole = numbers == list(range(1, len(numbers) + 1)) and (total == len(message) if len(numbers) > 1 else total is None)
-                try:
-                    body = http_payload(message)
-                except ValueError:
-                    body, whole = b"", False
-                found = hashlib.sha256(body).hexdigest()
-                # A revisit has no payload of its own; its digest is the one it tells.
-                size.append(None if kind == "revisit" else len(body))
-                digest.append(told if kind == "revisit" else found)
-                intact.append(whole and (kind == "revisit" or found == told))
-                bodies.append(body if payloads else None)
+                one = segments[0]
+                if len(segments) == 1 and one["whole"] is not None:
+                    own = one["size"], one["found"], one["whole"], one["block"]
+                else:
+                    # A record that isn't a segment has no others beside it.
+                    numbers, total = [s["segment"] for s in segments], segments[-1]["total"]
+                    message = b"".join(s["block"] or b"" for s in segments)
+                    complete = numbers == list(range(1, len(numbers) + 1)) and total == len(message) and all(s["whole"] is None for s in segments)
+                    own = _opened(message, kind, told)
+                    own = (*own[:2], own[2] and complete, own[3])
+                size.append(own[0])
+                digest.append(own[1])
+                intact.append(own[2])
+                bodies.append(own[3] if payloads else None)
             yield batches({"page_id": batch.column("page_id"), "record_type": batch.column("type"), "refers_to": batch.column("refers_to"),
                            "payload_bytes": pa.array(size, pa.int64()), "payload_digest": pa.array(digest, pa.string()),
                            "intact": pa.array(intact, pa.bool_()), "payload": pa.array(bodies, pa.binary())})
+
     return run
 
 
@@ -232,10 +259,10 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     revisits; ``resolve_revisits`` fills it. ``payload`` is null unless asked for.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
-    grouped = map_arrow(files, _records, _RECORD).groupBy("origin").agg(
+    grouped = map_arrow(files, _records(payloads), _RECORD).groupBy("origin").agg(
         F.max(F.when(F.col("segment") == 1, F.col("type"))).alias("type"), F.max("page_id").alias("page_id"),
         F.max("refers_to").alias("refers_to"), F.max("digest").alias("digest"),
-        F.sort_array(F.collect_list(F.struct("segment", "total", "block"))).alias("segments"))
+        F.sort_array(F.collect_list(F.struct("segment", "total", "block", "size", "found", "whole"))).alias("segments"))
     return map_arrow(grouped, _assembled(payloads), "page_id long, record_type string, refers_to long, payload_bytes long, "
                      "payload_digest string, intact boolean, payload binary")
 
