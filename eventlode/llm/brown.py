@@ -7,25 +7,25 @@ other words share one class, in which they differ by their counts; the end of a
 
 Word counts cover the whole training corpus. The most frequent ones, a bounded table, are looked up inside tasks; the
 counts of all others reach their texts by a join. Texts are turned into word ids once; pairs of neighbouring words are counted
-from these into a table with a row per word, over which the rounds run without a shuffle of words. The driver sees word
-classes and class pairs only.
+from these into a table with a row per word, over which the rounds run without a shuffle of words. Pairs travel many to a row,
+dealt into buckets by their words. The driver sees word classes and class pairs only.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlode.session import materialize
 
-from .common import batches, byte_texts, ids_and_texts, list_array, map_arrow, table
+from .common import batches, ids_and_texts, list_array, map_arrow, table
 
 # Parameters of the model: words whose counts every task holds, the occurrences from which on these get a class by exchange,
 # and the share by which two rounds must raise the classes' mutual information for more rounds to follow.
@@ -34,29 +34,62 @@ LEAST_COUNT = 5
 LEAST_GAIN = 0.02
 # The end of a text, as a word; no word contains a space.
 END = b" "
-# Distinct words a task counts, and neighbouring words it gathers, before it hands its counts on; rows in a batch of these.
-TASK_WORDS, TASK_PAIRS, PAIR_ROWS = 300_000, 2_000_000, 100_000
+# Words a task gathers, and neighbouring words, before it hands their counts on; rows in a batch of these.
+TASK_WORDS, TASK_PAIRS, COUNT_ROWS = 3_000_000, 2_000_000, 100_000
+# Neighbours of a word travel and are added up in one of so many buckets; those of a word with more occurrences than this in
+# several, by neighbour.
+BUCKETS, BUCKET_WORDS = 4_096, 4_000_000
 
 
-def _words(raw: bytes) -> list[bytes]:
-    return [*raw.lower().split(), END]
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, and the row of each. Null texts have none.
+
+    Both kernels work on bytes: words are cut at the six bytes at which ``bytes.split`` cuts, and A-Z are lowered. The second
+    takes the wrong bytes of a sliced column, so it gets the words, which are a new one.
+    """
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    words, lengths = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+    filled = pc.greater(pc.binary_length(words), 0)
+    return pc.ascii_lower(words.filter(filled)), np.repeat(np.arange(len(lists)), lengths)[filled.to_numpy(zero_copy_only=False)]
+
+
+def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary column from the concatenated values and the rows' lengths. Spark copies it without looking at every value."""
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.array(offsets, pa.int32()).buffers()[1], pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The concatenated values of a ``packed`` column, and the rows' lengths."""
+    column = column.cast(pa.large_binary())
+    _, offsets, values = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(values, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return raw.view(kind), np.diff(ends) // np.dtype(kind).itemsize
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts, the ends of texts included. Words are counted within tasks before they are shuffled."""
 
-    def out(counts: Counter) -> pa.RecordBatch:
-        return batches({"word": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64())})
+    def out(parts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        counts = pc.value_counts(pa.chunked_array(parts, pa.large_string()))
+        for k in range(0, len(counts), COUNT_ROWS):
+            some = counts[k : k + COUNT_ROWS]
+            yield batches({"word": some.field("values").cast(pa.binary()), "n": some.field("counts")})
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts, held, ends = [], 0, 0
         for batch in items:
-            for raw in byte_texts(batch.column("text")):
-                counts.update(_words(raw))
-                if len(counts) > TASK_WORDS:
-                    yield out(counts)
-                    counts = Counter()
-        yield out(counts)
+            words, _ = _split(batch.column("text"))
+            parts.append(words)
+            held += len(words)
+            ends += batch.num_rows
+            if held > TASK_WORDS:
+                yield from out(parts)
+                parts, held = [], 0
+        yield from out(parts)
+        if ends:
+            yield batches({"word": pa.array([END], pa.binary()), "n": pa.array([ends], pa.int64())})
 
     return map_arrow(docs, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -83,41 +116,39 @@ def class_number(words: int) -> int:
 
 
 def encode(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
-    """``docs`` with, instead of ``text``, ``words``: the ids of its words, ``len(ids)`` for any other; the distinct others are
-    in ``tail``, how often in ``times``. Null and empty texts have no words."""
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    """``docs`` with, instead of ``text``, ``words``: the ids of its words, ``len(ids)`` for any other, packed as 32-bit numbers;
+    the distinct others are in ``tail``, how often in ``times``. Null and empty texts have no words."""
+    shared = docs.sparkSession.sparkContext.broadcast(pa.array(sorted(ids, key=ids.get), pa.large_binary()))
     kept = docs.drop("text")
     names, other = kept.columns, len(ids)
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in items:
-            rows, lengths, tails, tail_counts, tail_lengths = [], [], [], [], []
-            for raw in byte_texts(batch.column("text")):
-                words = raw.lower().split()
-                own = np.fromiter((known.get(w, other) for w in words), np.int32, len(words))
-                tail = Counter([words[k] for k in np.flatnonzero(own == other).tolist()])
-                rows.append(own)
-                lengths.append(len(words))
-                tails += tail.keys()
-                tail_counts += tail.values()
-                tail_lengths.append(len(tail))
+            words, row = _split(batch.column("text"))
+            words = words.cast(pa.large_binary())
+            own = pc.index_in(words, value_set=known).fill_null(other).to_numpy(zero_copy_only=False)
+            beyond = own == other
+            coded = words.filter(pa.array(beyond)).dictionary_encode()
+            code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+            tail, times = np.unique(row[beyond] * max(1, len(distinct)) + code, return_counts=True)
+            tail_row, tail = np.divmod(tail, max(1, len(distinct)))
+            in_row = np.bincount(tail_row, minlength=batch.num_rows)
             yield batches({
                 **{c: batch.column(c) for c in names},
-                "words": list_array(np.concatenate(rows), np.array(lengths), pa.int32()),
-                "tail": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(tail_lengths)]), pa.int32()), pa.array(tails, pa.binary())),
-                "times": list_array(np.array(tail_counts, np.int32), np.array(tail_lengths), pa.int32()),
+                "words": packed(own, np.bincount(row, minlength=batch.num_rows)),
+                "tail": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(in_row)]), pa.int32()), distinct.take(pa.array(tail)).cast(pa.binary())),
+                "times": list_array(times.astype(np.int32), in_row, pa.int32()),
             })
 
-    own = "words array<int>, tail array<binary>, times array<int>"
+    own = "words binary, tail array<binary>, times array<int>"
     return map_arrow(docs, run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema), own]))
 
 
 def _with_ends(column: pa.Array, other: int) -> tuple[np.ndarray, np.ndarray]:
     """The words of all texts with an end before the first and after each (ids from ``other`` on are one, the end is the next),
     and the texts' numbers of words."""
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
-    words = column.flatten().to_numpy(zero_copy_only=False)
+    words, lengths = unpacked(column, np.int32)
     out = np.full(len(words) + len(lengths) + 1, other + 1, np.int64)
     out[np.arange(len(words)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)] = np.minimum(words, other)
     return out, lengths
@@ -125,54 +156,133 @@ def _with_ends(column: pa.Array, other: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pair_counts(docs: DataFrame, ids: dict[bytes, int]) -> DataFrame:
     """(a, b, n): how often word ``b`` follows word ``a``, over all texts; all words beyond ``ids`` are one, the end another."""
-    return encoded_pairs(encode(docs.select("text"), ids), len(ids))
+    size = len(ids) + 2
+    bits = size.bit_length()
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in items:
+            seen, lengths = unpacked(batch.column("after"), np.int64)
+            yield batches({"a": pa.array(np.repeat(batch.column("word").to_numpy(), lengths), pa.int32()),
+                           "b": pa.array(seen & ((1 << bits) - 1), pa.int32()), "n": pa.array(seen >> bits, pa.int64())})
 
+    near = encoded_neighbours(encode(docs.select("text"), ids), np.zeros(size, np.int64))
+    return map_arrow(near.select("word", "after"), run, "a int, b int, n long")
 
-def encoded_pairs(encoded: DataFrame, known: int) -> DataFrame:
-    """(a, b, n) of texts as word ids (``words``), those from ``known`` on being one.
+
+def encoded_neighbours(encoded: DataFrame, often: np.ndarray) -> DataFrame:
+    """The ``neighbours`` of texts as word ids (``words``). ``often`` has every id's occurrences, the last but one those of all
+    ids from there on and the last the ends'.
 
     Every text stands between two ends. Pairs are counted within tasks before they are shuffled.
     """
-    size = known + 2
+    size = len(often)
+    parts = 1 + often // BUCKET_WORDS
 
-    def out(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-        for k in range(0, len(pairs), PAIR_ROWS):
-            yield batches({"pair": pa.array(pairs[k : k + PAIR_ROWS]), "n": pa.array(n[k : k + PAIR_ROWS], pa.int64())})
+    def out(pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, n = np.unique(np.concatenate(pairs), return_counts=True)
+        return _dealt(found // size, found % size, n, parts)
 
     def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        pairs, held = [], 0
         for batch in items:
-            words, _ = _with_ends(batch.column("words"), known)
-            parts.append(words[:-1] * size + words[1:])
+            words, _ = _with_ends(batch.column("words"), size - 2)
+            pairs.append(words[:-1] * size + words[1:])
             held += len(words)
             if held > TASK_PAIRS:
-                yield from out(parts)
-                parts, held = [], 0
-        if parts:
-            yield from out(parts)
+                yield from out(pairs)
+                pairs, held = [], 0
+        if pairs:
+            yield from out(pairs)
 
-    summed = map_arrow(encoded.select("words"), run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return summed.select(F.expr(f"cast(pair div {size} as int)").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n")
+    near = _gathered(map_arrow(encoded.select("words"), run, DEALT), size)
+    several = np.flatnonzero(parts > 1).tolist()
+    if not several:
+        return near
+    # The parts of a word have different neighbours: they only need to be put together.
+    whole = near.where(F.col("word").isin(several)).groupBy("word").agg(
+        *[F.expr(f"aggregate(collect_list({side}), X'', (x, y) -> concat(x, y))").alias(side) for side in ("before", "after")])
+    return near.where(~F.col("word").isin(several)).unionByName(materialize(whole, "brown-frequent"))
 
 
 def neighbours(pairs: DataFrame, size: int) -> DataFrame:
-    """(word, before, after): every neighbour of a word as one number, its count and its id, on the side where it stands.
+    """(word, before, after) of pairs (a, b, n): every neighbour of a word as one number, its count and its id, on the side where
+    it stands, packed as 64-bit numbers.
 
     A word has at most ``size`` neighbours on each side, HEAD_WORDS and two, however large the corpus is.
     """
+    parts = np.ones(size, np.int64)
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in items:
+            yield from _dealt(*[batch.column(c).to_numpy().astype(np.int64) for c in "abn"], parts)
+
+    return _gathered(map_arrow(pairs.select("a", "b", "n"), run, DEALT), size)
+
+
+DEALT = "bucket int, owners binary, others binary, n binary"
+
+
+def _dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs in a row per bucket, each twice: as a neighbour before ``b`` and as one after ``a``."""
+    words, others = np.concatenate([b, a]), np.concatenate([a, b])
+    bucket = ((words + others % parts[words] * 2_654_435_761) % BUCKETS).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    owners = (words * 2 + np.repeat([0, 1], len(a)))[order].astype(np.int32)
+    others, n = others[order].astype(np.int32), np.tile(n, 2)[order]
+    lengths = np.bincount(bucket, minlength=BUCKETS)
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    for k in range(0, BUCKETS, 512):
+        held = np.flatnonzero(lengths[k : k + 512]) + k
+        own = slice(starts[k], starts[k + 512])
+        if len(held):
+            yield batches({"bucket": pa.array(held, pa.int32()), **{
+                name: packed(x[own], lengths[held]) for name, x in (("owners", owners), ("others", others), ("n", n))}})
+
+
+def _gathered(dealt: DataFrame, size: int) -> DataFrame:
+    """(word, before, after) from rows of buckets, equal pairs added up. A task holds the pairs of a few buckets at a time."""
     bits = size.bit_length()
-    sides = [pairs.select(F.col(own).alias("word"), F.lit(side).alias("side"), (F.shiftleft("n", bits) + F.col(other)).alias("seen"))
-             for own, other, side in (("b", "a", 0), ("a", "b", 1))]
-    return sides[0].unionByName(sides[1]).groupBy("word").agg(
-        *[F.collect_list(F.when(F.col("side") == side, F.col("seen"))).alias(name) for side, name in enumerate(("before", "after"))])
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[starts], np.add.reduceat(n[order], starts)
+
+    def out(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        owner, other = np.divmod(keys, size)
+        words, at = np.unique(owner >> 1, return_inverse=True)
+        seen, side = (n << bits) + other, owner & 1
+        return batches({"word": pa.array(words, pa.int32()), **{
+            name: packed(seen[side == k], np.bincount(at[side == k], minlength=len(words))) for k, name in enumerate(("before", "after"))}})
+
+    def run(items: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = []
+        for batch in items:
+            owners, lengths = unpacked(batch.column("owners"), np.int32)
+            keys, n = owners.astype(np.int64) * size + unpacked(batch.column("others"), np.int32)[0], unpacked(batch.column("n"), np.int64)[0]
+            # The last bucket may go on in the next batch.
+            buckets = batch.column("bucket").to_numpy()
+            closed = int(np.searchsorted(buckets, buckets[-1]))
+            at = int(lengths[:closed].sum())
+            if closed:
+                yield out(*summed([*kept, (keys[:at], n[:at])]))
+                kept = []
+            kept = [summed([*kept, (keys[at:], n[at:])])]
+        if kept:
+            yield out(*kept[0])
+
+    # Rows of a bucket lie in one partition, one after the other.
+    ordered = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    return materialize(map_arrow(ordered, run, "word int, before binary, after binary"), "brown-neighbours")
 
 
 def _side(lists: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of all neighbours in a column of ``neighbours``: the row, the class and the count."""
     bits = len(classes).bit_length()
-    seen = lists.flatten().to_numpy(zero_copy_only=False)
-    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    seen, lengths = unpacked(lists, np.int64)
+    row = np.repeat(np.arange(len(lists)), lengths)
     return row, classes[seen & ((1 << bits) - 1)], seen >> bits
 
 
@@ -235,13 +345,17 @@ def exchanged(near: DataFrame, pairs: np.ndarray, classes: np.ndarray, turn: int
 
 
 def cluster(pairs: DataFrame, clustered: int, n_classes: int, least_gain: float) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the words, the other word and the end, and the counts of class pairs under them.
+    """Classes of the words, the other word and the end, and the counts of class pairs under them, from word pairs (a, b, n)."""
+    return settled(neighbours(pairs, clustered + 2), clustered, n_classes, least_gain)
+
+
+def settled(near: DataFrame, clustered: int, n_classes: int, least_gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """What ``cluster`` returns, from the words' ``neighbours``.
 
     Words start dealt over the classes by rank. The rounds end when two of them raised the mutual information by less than
     ``least_gain`` of itself; the best classes of all rounds are returned.
     """
     classes = np.concatenate([np.arange(clustered) % n_classes, [n_classes, n_classes + 1]])
-    near = materialize(neighbours(pairs, clustered + 2), "brown-neighbours")
     best, gained = None, []
     while True:
         found = class_pairs(near, classes, n_classes + 2)
@@ -271,7 +385,14 @@ def exchange(contexts: np.ndarray, pairs: np.ndarray, classes: np.ndarray, offer
 def vocabulary(docs: DataFrame, head_words: int = HEAD_WORDS) -> tuple[DataFrame, dict[bytes, int], np.ndarray]:
     """The table of all word counts of ``docs`` (text), the ranks of the most frequent words, and their counts."""
     counts = materialize(word_counts(docs), "brown-counts")
-    head = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(head_words).toArrow()
+    words = counts.where(F.col("word") != F.lit(END))
+    # Only words as frequent as the last one ranked are sorted: the number of different counts is small.
+    kinds = words.groupBy("n").count().toArrow()
+    levels, kinds = kinds.column("n").to_numpy(), kinds.column("count").to_numpy()
+    falling = np.argsort(-levels)
+    reached = np.flatnonzero(np.cumsum(kinds[falling]) >= head_words)
+    least = int(levels[falling[reached[0]]]) if len(reached) else 1
+    head = words.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(head_words).toArrow()
     return counts, {w: k for k, w in enumerate(head.column("word").to_pylist())}, head.column("n").to_numpy()
 
 
@@ -287,12 +408,15 @@ def fit(encoded: DataFrame, counts: DataFrame, ids: dict[bytes, int], n: np.ndar
 
     Unless told otherwise, all head words with ``least_count`` occurrences get a class, of a number that grows with them.
     """
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    often = int(np.count_nonzero(n >= least_count))
-    clustered = often if clustered_words is None else min(clustered_words, len(ids))
+    none = F.lit(0)
+    total = counts.agg(F.coalesce(F.sum("n"), none).alias("n"), F.count("*").alias("v"),
+                       F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))), none).alias("ends")).first()
+    enough = int(np.count_nonzero(n >= least_count))
+    clustered = enough if clustered_words is None else min(clustered_words, len(ids))
     n_classes = n_classes or class_number(clustered)
     rest, end = n_classes, n_classes + 1
-    small, pairs = cluster(encoded_pairs(encoded, clustered), clustered, n_classes, least_gain)
+    often = np.concatenate([n[:clustered], [total.n - total.ends - int(n[:clustered].sum()), total.ends]]).astype(np.int64)
+    small, pairs = settled(encoded_neighbours(encoded, often), clustered, n_classes, least_gain)
     # Ids after the head's: any other word, and the end of a text.
     classes = np.full(len(ids) + 2, rest, np.int16)
     classes[:clustered] = small[:clustered]

@@ -6,8 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from eventlode.llm import brown
 from eventlode.llm.brown import class_number, cluster, exchange, mutual_information, op10_brown_scores, pair_counts, score, score_held_out, train
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -136,3 +138,57 @@ def test_scores_equal_a_plain_class_model(spark):
             expected += math.log10((seen[w] + 1) / (sizes[k] + members[k]))
             before = k
         assert r.score == pytest.approx(expected, rel=1e-9)
+
+
+def random_docs(spark, kinds, texts=40, length=600):
+    rng = np.random.default_rng(4)
+    rows = [" ".join(f"w{k}" for k in rng.integers(kinds, size=length)) for _ in range(texts)]
+    ids = {f"w{k}".encode(): k for k in range(kinds)}
+    plain = Counter()
+    for t in rows:
+        own = [kinds + 1, *[ids[w.encode()] for w in t.split()], kinds + 1]
+        plain.update(zip(own, own[1:]))
+    return spark.createDataFrame([(t,) for t in rows], "text string").repartition(2), ids, plain
+
+
+def sides(near, size):
+    bits = size.bit_length()
+    plain = lambda raw: sorted((int(x) & ((1 << bits) - 1), int(x) >> bits) for x in np.frombuffer(raw, np.int64))
+    rows = near.collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: (plain(r.before), plain(r.after)) for r in rows}
+
+
+def test_pairs_travel_many_to_a_row(spark, monkeypatch):
+    docs, ids, plain = random_docs(spark, 300)
+    moved, gathered = [], brown._gathered
+    monkeypatch.setattr(brown, "_gathered", lambda dealt, size: (moved.append(dealt.count()), gathered(dealt, size))[1])
+    assert {(r.a, r.b): r.n for r in pair_counts(docs, ids).collect()} == dict(plain)
+    assert 0 < 20 * sum(moved) < len(plain)
+
+
+def test_neighbours_of_a_frequent_word_in_parts(spark, monkeypatch):
+    docs, ids, plain = random_docs(spark, 30)
+    expected = {w: (sorted((a, n) for (a, b), n in plain.items() if b == w), sorted((b, n) for (a, b), n in plain.items() if a == w))
+                for w in (*range(30), 31)}
+    often = np.array([*[sum(n for (_, b), n in plain.items() if b == w) for w in range(30)], 0, 40])
+    encoded = brown.encode(docs, ids)
+    assert sides(brown.encoded_neighbours(encoded, often), 32) == expected
+    monkeypatch.setattr(brown, "BUCKET_WORDS", int(np.median(often)))
+    assert sides(brown.encoded_neighbours(encoded, often), 32) == expected
+
+
+def test_words_are_cut_and_lowered_as_bytes():
+    texts = ["Xx yÉ", None, "", " \t\n\x0b\x0c\r", "A\x1cB\x85c\x00D İZ\u2003q", " z  Z\n"] * 3
+    for column in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(["Front Ö"] * 50 + texts)[50:]):
+        found, row = brown._split(column)
+        assert list(zip(row.tolist(), found.cast(pa.large_binary()).to_pylist())) == [
+            (k, w) for k, t in enumerate(texts) for w in (t or "").encode().lower().split()]
+
+
+@pytest.mark.parametrize("head", [0, 1, 4, 7, 50])
+def test_most_frequent_words_by_count_then_word(spark, head):
+    texts = ["b a c d", "b a", "b d e f g"]
+    _, ids, n = brown.vocabulary(spark.createDataFrame([(t,) for t in texts], "text string"), head)
+    ranked = sorted(Counter(" ".join(texts).split()).items(), key=lambda x: (-x[1], x[0]))[:head]
+    assert ([*ids], n.tolist()) == ([w.encode() for w, _ in ranked], [k for _, k in ranked])
